@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import StructField
 
 from lapwright.schemas import TableSpec
 
 
-def _typed(df: DataFrame, field: StructField) -> Column:
-    if field.name not in df.columns:
-        return F.lit(None).cast(field.dataType).alias(field.name)
-    return F.col(f"`{field.name}`").try_cast(field.dataType).alias(field.name)
+def _typed(field: StructField, present: bool) -> str:
+    kind = field.dataType.simpleString()
+    value = f"try_cast(`{field.name}` as {kind})" if present else f"cast(null as {kind})"
+    return f"{value} as `{field.name}`"
 
 
 def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -21,8 +20,9 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
     A value that cannot be cast becomes NULL rather than failing the job, and a
     column that no file has carried yet is NULL. Open tables keep further columns.
     """
-    listed = [_typed(df, field) for field in spec.schema]
-    if not spec.open_schema:
-        return df.select(*listed)
-    known = set(spec.schema.names)
-    return df.select(*listed, *[F.col(f"`{c}`") for c in df.columns if c not in known])
+    arrived, fields = df.columns, spec.schema.fields
+    listed = [_typed(f, f.name in arrived) for f in fields]
+    if spec.open_schema:
+        known = set(spec.schema.names)
+        listed += [f"`{c}`" for c in arrived if c not in known]
+    return df.selectExpr(*listed)

@@ -7,19 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_RANK = "__nth_of_key"
+_RANK, _HASH = "__nth_of_key", "__hash_of_key"
 
 
-def keep_first(df: DataFrame, key: Sequence[str]) -> DataFrame:
+def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """Keep, per key, the row that sorts first by all other columns (NULL last).
 
+    ``order`` lists the columns to sort by where others are known to be constant.
+
     Ordering by every other column makes the survivor independent of row order
     and partitioning: rows that still tie are equal. The ``= 1`` filter lets
     Spark cut each map task to one row per key before the shuffle
     (``WindowGroupLimit``), so a key with very many copies costs one row per task.
+
+    A sort compares the first sort column fastest. For a key of many columns, each
+    with few values, a hash of the key is put in front so that this one comparison
+    nearly always decides.
     """
-    others = [F.col(f"`{c}`").asc_nulls_last() for c in df.columns if c not in key]
+    others = [F.col(f"`{c}`").asc_nulls_last() for c in (order or df.columns) if c not in key]
     if not others:
         return df.distinct()
+    if len(key) > 2:
+        df = df.withColumn(_HASH, F.xxhash64(*key))
+        key = [_HASH, *key]
     per_key = Window.partitionBy(*key).orderBy(*others)
-    return df.withColumn(_RANK, F.row_number().over(per_key)).where(F.col(_RANK) == 1).drop(_RANK)
+    return df.withColumn(_RANK, F.row_number().over(per_key)).where(F.col(_RANK) == 1).drop(_RANK, _HASH)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lapwright.plans.gold import GOLD
 from lapwright.plans.silver import clean
-from lapwright.schemas import GOLD_LAYOUT, TABLES
+from lapwright.schemas import GOLD_FROM_GOLD, GOLD_FROM_SILVER, GOLD_LAYOUT, TABLES
 from lapwright.sources.tables import LazyTables, StoredTables
 from lapwright.streaming.bronze import Bronze, records
 
@@ -57,12 +58,22 @@ def update(
         bronze = bronze.restarted()
     stored = StoredTables(spark, f"{root.rstrip('/')}/tables")
     done = Update(bronze, {}, bronze.ingest(endpoints or TABLES))
-    for endpoint, spec in TABLES.items():
-        raw = records(bronze[endpoint]) if endpoint in bronze else spark.createDataFrame([], spec.schema)
+    ingested = set(bronze)
+
+    def rewrite_silver(endpoint: str) -> str:
+        spec = TABLES[endpoint]
+        raw = records(bronze[endpoint]) if endpoint in ingested else spark.createDataFrame([], spec.schema)
         stored.overwrite(spec.silver, _stamped(clean(raw, endpoint, watch=spec.silver)), spec.layout)
-        done.written.append(spec.silver)
-    for name, layout in GOLD_LAYOUT.items():
-        stored.overwrite(name, _stamped(GOLD[name](stored)), layout)
-        done.written.append(name)
+        return spec.silver
+
+    def rewrite_gold(name: str) -> str:
+        stored.overwrite(name, _stamped(GOLD[name](stored)), GOLD_LAYOUT[name])
+        return name
+
+    # Tables of one step do not read each other: small ones run beside large ones.
+    steps = ((rewrite_silver, list(TABLES)), (rewrite_gold, GOLD_FROM_SILVER), (rewrite_gold, GOLD_FROM_GOLD))
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        for rewrite, step in steps:
+            done.written += pool.map(rewrite, step)
     done.tables = all_tables(bronze, stored)
     return done

@@ -82,7 +82,8 @@ def telemetry_totals(coverage: DataFrame) -> DataFrame:
 
 def telemetry_missing(tables: Tables) -> DataFrame:
     """Listed drivers of a session without any telemetry."""
-    return _expected(tables, None).join(tables["silver_car_data"].select(*ENTRY), ENTRY, "left_anti")
+    seen = tables["silver_car_data"].select(*ENTRY).distinct()
+    return _expected(tables, None).join(seen, ENTRY, "left_anti")
 
 
 def landed_counts(

@@ -17,7 +17,10 @@ from lapwright.schemas import TABLES, TableSpec
 def distinct_typed(raw: DataFrame, spec: TableSpec) -> DataFrame:
     """Typed rows, one per key, before any rule."""
     typed = conform(raw, spec)
-    return keep_first(typed, spec.key) if spec.key else typed
+    if not spec.key:
+        return typed
+    arrived = set(raw.columns)
+    return keep_first(typed, spec.key, [c for c in spec.schema.names if c in arrived])
 
 
 def clean(raw: DataFrame, endpoint: str, watch: str | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ keys are fixed values: they define the tables that users query.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql.types import StructType
 
@@ -31,7 +32,7 @@ class TableSpec:
     # Columns beyond the listed ones are kept as they arrive.
     open_schema: bool = False
 
-    @property
+    @cached_property
     def schema(self) -> StructType:
         return StructType.fromDDL(self.columns)
 
@@ -180,7 +181,7 @@ TABLES: dict[str, TableSpec] = {spec.endpoint: spec for spec in _SPECS}
 # Landed and read, but never given a table of its own.
 LANDING_ONLY = ("location",)
 
-# Gold tables in build order: each reads silver tables or gold tables before it.
+# Gold tables and the columns they are clustered by.
 GOLD_LAYOUT: dict[str, tuple[str, ...]] = {
     "gold_driver_performance": ("session_key", "driver_number"),
     "gold_race_summary": (),
@@ -189,3 +190,5 @@ GOLD_LAYOUT: dict[str, tuple[str, ...]] = {
     "gold_overtakes_analysis": (),
     "gold_team_performance": (),
 }
+GOLD_FROM_GOLD = ("gold_team_performance",)
+GOLD_FROM_SILVER = tuple(n for n in GOLD_LAYOUT if n not in GOLD_FROM_GOLD)

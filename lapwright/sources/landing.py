@@ -29,13 +29,16 @@ def land(df: DataFrame, root: str, endpoint: str, records_per_file: int = 0) ->
 
 
 def land_batches(df: DataFrame, root: str, endpoint: str, by: tuple[str, ...] = ("session_key", "driver_number")) -> str:
-    """Add records in sub-folders per batch key, for endpoints fetched piece by piece.
+    """Add records in one sub-folder per batch, such as ``session_key_7_driver_number_44``.
 
-    Rows are first brought together by key so that a key makes few files; Spark
-    splits a key that is too large for one.
+    For endpoints that are fetched piece by piece. Rows of a batch are brought
+    together first, so that it makes few files; Spark splits a batch that is too
+    large for one task. The records keep all their columns.
     """
     folder = endpoint_folder(root, endpoint)
-    df.hint("rebalance", *by).write.mode("append").options(**_WRITE_OPTIONS).partitionBy(*by).json(folder)
+    batch = F.concat_ws("_", *[part for c in by for part in (F.lit(c), F.col(c).cast("string"))])
+    grouped = df.withColumn("batch", batch).hint("rebalance", "batch")
+    grouped.write.mode("append").options(**_WRITE_OPTIONS).partitionBy("batch").json(folder)
     return folder
 
 

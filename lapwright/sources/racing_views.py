@@ -7,6 +7,7 @@ start from the same records. They only shape data.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
@@ -26,7 +27,9 @@ SOURCE_SQL = {
         "supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey"
     ),
     "lineitem": "lineitem",
-    "lineitem_supplier": "lineitem join supplier on l_suppkey = s_suppkey",
+    "entries": (
+        "(select distinct l_suppkey, l_partkey % 20 as seat from lineitem) as e join supplier on l_suppkey = s_suppkey"
+    ),
     "events": "events",
     "events_supplier": "events join supplier on user_id % 10 = s_suppkey",
 }
@@ -37,7 +40,6 @@ class View:
     source: str
     columns: dict[str, str]
     where: str | None = None
-    distinct: bool = False
 
 
 VIEWS: dict[str, View] = {
@@ -71,18 +73,17 @@ VIEWS: dict[str, View] = {
         },
     ),
     "drivers": View(
-        "lineitem_supplier",
+        "entries",
         {
-            "driver_number": _NUMBER,
-            "full_name": f"concat('Driver ', cast({_NUMBER} as string))",
-            "name_acronym": f"concat('D', cast({_NUMBER} as string))",
-            "team_name": "concat('Team ', cast(cast(floor((l_partkey % 20) / 2) as int) as string))",
-            "country_code": f"concat('N', cast({_NUMBER} % 5 as string))",
+            "driver_number": "cast(seat + 1 as int)",
+            "full_name": "concat('Driver ', cast(seat + 1 as string))",
+            "name_acronym": "concat('D', cast(seat + 1 as string))",
+            "team_name": "concat('Team ', cast(cast(floor(seat / 2) as int) as string))",
+            "country_code": "concat('N', cast((seat + 1) % 5 as string))",
             "session_key": "l_suppkey",
             "meeting_key": "s_nationkey",
         },
-        where="not (l_partkey % 20 = 19 and l_suppkey % 4 = 0)",
-        distinct=True,
+        where="not (seat = 19 and l_suppkey % 4 = 0)",
     ),
     "laps": View(
         "lineitem",
@@ -239,8 +240,9 @@ def _sources(read: Callable[[str], DataFrame]) -> dict[str, Callable[[], DataFra
     def supplier_nation_region():
         return read("supplier").join(nation_region(), F.col("s_nationkey") == F.col("n_nationkey"))
 
-    def lineitem_supplier():
-        return read("lineitem").join(read("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    def entries():
+        pairs = read("lineitem").selectExpr("l_suppkey", "l_partkey % 20 as seat").distinct()
+        return pairs.join(read("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
 
     def events_supplier():
         return read("events").join(read("supplier"), F.expr("user_id % 10 = s_suppkey"))
@@ -249,7 +251,7 @@ def _sources(read: Callable[[str], DataFrame]) -> dict[str, Callable[[], DataFra
         "nation_region": nation_region,
         "supplier_nation_region": supplier_nation_region,
         "lineitem": lambda: read("lineitem"),
-        "lineitem_supplier": lineitem_supplier,
+        "entries": entries,
         "events": lambda: read("events"),
         "events_supplier": events_supplier,
     }
@@ -257,8 +259,7 @@ def _sources(read: Callable[[str], DataFrame]) -> dict[str, Callable[[], DataFra
 
 def _shape(view: View, source: DataFrame) -> DataFrame:
     rows = source.where(view.where) if view.where else source
-    rows = rows.selectExpr(*[f"{text} as `{name}`" for name, text in view.columns.items()])
-    return rows.distinct() if view.distinct else rows
+    return rows.selectExpr(*[f"{text} as `{name}`" for name, text in view.columns.items()])
 
 
 def _stints(laps: DataFrame) -> DataFrame:
@@ -283,8 +284,7 @@ def _stints(laps: DataFrame) -> DataFrame:
 def raw_tables(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
     """Raw records by endpoint, plus the ``dirty_*`` variants."""
 
-    def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
+    read = functools.cache(lambda name: spark.read.parquet(f"{folder}/{name}.parquet"))
 
     sources = _sources(read)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,11 +23,20 @@ class Bronze(Mapping):
     """Raw tables fed by one file stream per endpoint.
 
     ``generation`` names checkpoint and table folders. Starting a new generation
-    forgets which files were read, and so reads all of them again.
+    forgets which files were read, and so reads all of them again. A backlog is
+    read in batches of about ``batch_bytes``, each committed on its own.
     """
 
-    def __init__(self, spark: SparkSession, landing: str, root: str, generation: int | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        landing: str,
+        root: str,
+        generation: int | None = None,
+        batch_bytes: int = 1 << 40,
+    ):
         self.spark = spark
+        self.batch_bytes = batch_bytes
         self.landing = landing.rstrip("/")
         self.root = root.rstrip("/")
         if generation is None:
@@ -38,7 +48,7 @@ class Bronze(Mapping):
 
     def restarted(self) -> Bronze:
         """An empty next generation over the same landing zone."""
-        return Bronze(self.spark, self.landing, self.root, self.generation + 1)
+        return Bronze(self.spark, self.landing, self.root, self.generation + 1, self.batch_bytes)
 
     def refresh_schema(self, endpoint: str) -> StructType:
         """Look at files landed since the last look and widen the stored schema."""
@@ -58,6 +68,7 @@ class Bronze(Mapping):
             .option("columnNameOfCorruptRecord", raw_schema.RESCUED)
             .option("recursiveFileLookup", "true")
             .option("pathGlobFilter", "*.json")
+            .option("maxBytesPerTrigger", self.batch_bytes)
             .json(endpoint_folder(self.landing, endpoint))
             .withColumn(INGESTED_AT, F.current_timestamp())
             .withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
@@ -79,15 +90,18 @@ class Bronze(Mapping):
     def ingest(self, endpoints: Iterable[str]) -> dict[str, int]:
         """Run the streams of several endpoints side by side; records added by endpoint.
 
-        Endpoints without landed files are left out.
+        Endpoints without landed files are left out. If a stream fails, the others
+        still finish, and the failed one goes on from its checkpoint next time.
         """
         landed = [e for e in endpoints if files.has_visible_files(self.spark, endpoint_folder(self.landing, e))]
-        running = {e: self.start(e) for e in landed}
-        added = {}
-        for endpoint, query in running.items():
-            query.awaitTermination()
-            added[endpoint] = sum(p["numInputRows"] for p in query.recentProgress)
-        return added
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            waiting = {e: pool.submit(self._run, e) for e in landed}
+        return {e: added.result() for e, added in waiting.items()}
+
+    def _run(self, endpoint: str) -> int:
+        query = self.start(endpoint)
+        query.awaitTermination()
+        return sum(p["numInputRows"] for p in query.recentProgress)
 
     def __getitem__(self, endpoint: str) -> DataFrame:
         schema, looked = self._schemas.load(endpoint)

@@ -29,7 +29,7 @@ def _raw(name: str) -> str:
     view = VIEWS[name]
     cols = ", ".join(f'{text} as "{col}"' for col, text in view.columns.items())
     where = f" where {view.where}" if view.where else ""
-    return f"select {'distinct ' if view.distinct else ''}{cols} from {SOURCE_SQL[view.source]}{where}"
+    return f"select {cols} from {SOURCE_SQL[view.source]}{where}"
 
 
 CTE: dict[str, str] = {f"raw_{n}": _raw(n) for n in VIEWS}
