@@ -20,15 +20,14 @@ def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str] | None =
     Spark cut each map task to one row per key before the shuffle
     (``WindowGroupLimit``), so a key with very many copies costs one row per task.
 
-    A sort compares the first sort column fastest. For a key of many columns, each
-    with few values, a hash of the key is put in front so that this one comparison
-    nearly always decides.
+    A hash of the key is put in front of it. A sort compares the first column
+    fastest, and the hash alone nearly always decides. It also keeps this shuffle
+    apart from that of a later join on the key: adaptive execution splits a hot join
+    key only where both sides were shuffled for the join.
     """
     others = [F.col(f"`{c}`").asc_nulls_last() for c in (order or df.columns) if c not in key]
     if not others:
         return df.distinct()
-    if len(key) > 2:
-        df = df.withColumn(_HASH, F.xxhash64(*key))
-        key = [_HASH, *key]
-    per_key = Window.partitionBy(*key).orderBy(*others)
+    df = df.withColumn(_HASH, F.xxhash64(*key))
+    per_key = Window.partitionBy(_HASH, *key).orderBy(*others)
     return df.withColumn(_RANK, F.row_number().over(per_key)).where(F.col(_RANK) == 1).drop(_RANK, _HASH)

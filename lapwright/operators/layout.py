@@ -1,26 +1,20 @@
-"""File layout: rows of neighbouring keys in the same files."""
+"""File layout: rows of one key in few files, sorted."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-_SPREAD = "__spread"
 
 
 def clustered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Range-partition and sort by ``keys`` so that readers skip files and row groups.
+    """Bring rows of the first key together and sort by all keys, for writing.
 
-    The number of the upstream task is a last range key. Rows of one very common
-    key, even exact copies, then still fall into several ranges instead of one task.
+    Readers that filter by key then skip nearly all row groups by their minimum and
+    maximum. ``rebalance`` needs no pass to sample the rows, as ranges would; it cuts
+    a partition that one common key has made too large into several files, and puts
+    small ones together.
     """
     if not keys:
         return df
-    return (
-        df.withColumn(_SPREAD, F.spark_partition_id())
-        .repartitionByRange(*keys, _SPREAD)
-        .sortWithinPartitions(*keys)
-        .drop(_SPREAD)
-    )
+    return df.hint("rebalance", keys[0]).sortWithinPartitions(*keys)

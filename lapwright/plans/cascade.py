@@ -45,12 +45,14 @@ def update(
     root: str,
     endpoints: Iterable[str] | None = None,
     full_refresh: bool = False,
+    keep_versions: int = 2,
 ) -> Update:
     """Ingest new files, then rewrite cleaned and aggregated tables.
 
     Tables are rewritten in dependency order, and a gold table reads what the
     tables before it have stored. ``full_refresh`` reads all landed files again
-    into a new generation of raw tables. A session that stops half-way leaves the
+    into a new generation of raw tables. Of each table the newest ``keep_versions``
+    are kept, so that those who still read the version before can finish. A session that stops half-way leaves the
     earlier versions in place; the next update goes on from the checkpoints.
     """
     bronze = Bronze(spark, landing, f"{root.rstrip('/')}/bronze")
@@ -75,5 +77,7 @@ def update(
     with ThreadPoolExecutor(max_workers=8) as pool:
         for rewrite, step in steps:
             done.written += pool.map(rewrite, step)
+    for name in done.written:
+        stored.prune(name, keep_versions)
     done.tables = all_tables(bronze, stored)
     return done

@@ -14,6 +14,8 @@ SETTINGS = {
     # Split hot join keys even where that costs one more shuffle behind the join.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Size of a task's share of a shuffle, and so about that of a written file.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Do not record a Python stack for every column expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Read parquet timestamps without zone the same way on every file.

@@ -27,3 +27,8 @@ def child_names(spark: SparkSession, location: str) -> list[str]:
 def has_visible_files(spark: SparkSession, location: str) -> bool:
     """Whether a folder holds anything that Spark would read."""
     return any(not n.startswith(("_", ".")) for n in child_names(spark, location))
+
+
+def delete(spark: SparkSession, location: str) -> None:
+    path, system = _path(spark, location)
+    system.delete(path, True)

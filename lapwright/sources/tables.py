@@ -64,6 +64,14 @@ class StoredTables(Mapping):
         clustered(df, layout).write.mode("error").parquet(folder)
         return folder
 
+    def prune(self, name: str, keep: int = 2) -> None:
+        """Delete all but the newest complete versions, and remains of failed writes before them."""
+        complete = [v for v in self._versions(name) if files.exists(self.spark, f"{self.root}/{name}/v={v}/_SUCCESS")]
+        if len(complete) > keep:
+            for version in self._versions(name):
+                if version < complete[-keep]:
+                    files.delete(self.spark, f"{self.root}/{name}/v={version}")
+
     def __getitem__(self, name: str) -> DataFrame:
         folder = self.location(name)
         if folder is None:

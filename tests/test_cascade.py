@@ -68,6 +68,16 @@ def test_audits_see_missing_tables(spark, updated):
     assert list(nothing) == [] and len(nothing) == 0
 
 
+def test_old_versions_are_pruned(spark, tmp_path):
+    stored = StoredTables(spark, str(tmp_path))
+    folders = [stored.overwrite("t", spark.createDataFrame([(n,)], "a int")) for n in range(4)]
+    before = stored["t"]
+    stored.overwrite("t", spark.createDataFrame([(9,)], "a int"))
+    stored.prune("t", keep=2)
+    assert rows(before) == [(3,)] and rows(stored["t"]) == [(9,)]
+    assert stored._versions("t") == [4, 5] and len(folders) == 4
+
+
 def test_a_failed_rewrite_leaves_the_table(spark, tmp_path):
     stored = StoredTables(spark, str(tmp_path))
     stored.overwrite("t", spark.createDataFrame([(1,)], "a int"))

@@ -76,17 +76,21 @@ def test_latest_and_first(spark):
     assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
 
 
-def test_layout_splits_a_hot_key(spark, tmp_path):
-    df = spark.range(60_000).repartition(6).select(
-        F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(7).cast("int").alias("k"), F.lit("x").alias("v"))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+def test_layout_splits_a_hot_key_and_sorts(spark, tmp_path):
+    df = spark.range(300_000).repartition(6).selectExpr(
+        "case when id % 3 = 0 then 7 else cast(id as int) end as k", "cast(hash(id) as int) as d", "uuid() as v")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256kb")
     try:
-        laid = clustered(df, ["k"])
-        assert laid.columns == ["k", "v"] and laid.count() == 60_000
-        hot = laid.where("k = 7").groupBy(F.spark_partition_id()).count()
-        assert hot.count() > 1
+        clustered(df, ["k", "d"]).write.parquet(f"{tmp_path}/t")
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    written = spark.read.parquet(f"{tmp_path}/t").select("*", F.input_file_name().alias("f"))
+    assert written.count() == 300_000
+    assert written.where("k = 7").select("f").distinct().count() > 3
+    seen = {}
+    for path, k, d in written.where("k = 7 or k < 1000").select("f", "k", "d").toPandas().itertuples(index=False):
+        assert seen.get(path, (k, d)) <= (k, d)
+        seen[path] = (k, d)
 
 
 def test_wording(spark):
