@@ -40,7 +40,9 @@ def exact_quantile(
         .select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
                 F.col("__step").alias("__s"), "__before", "__rank")
     )
-    same = F.col("__step") == F.col("__s")
+    # Null-safe throughout: a plain equality would add a filter to one reading of the
+    # counts, and Spark reuses a shuffle only between equal plans.
+    same = F.col("__step").eqNullSafe(F.col("__s"))
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
     inside = Window.partitionBy(*keys, "__step").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)

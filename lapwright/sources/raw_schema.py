@@ -6,7 +6,7 @@ import datetime as dt
 import json
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrameReader, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lapwright.sources import files
@@ -14,21 +14,22 @@ from lapwright.sources import files
 RESCUED = "_rescued_data"
 
 
+def changed_since(reader: DataFrameReader, since: dt.datetime | None) -> DataFrameReader:
+    """Reader of JSON files below a folder, restricted to those changed after a time."""
+    reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
+    if since is None:
+        return reader
+    return reader.option("modifiedAfter", since.strftime("%Y-%m-%dT%H:%M:%S")).option("timeZone", "UTC")
+
+
 def infer(spark: SparkSession, folder: str, since: dt.datetime | None = None, share: float = 1.0) -> StructType:
     """Types found in the JSON files of a folder, or in those changed after ``since``.
 
     By default every new record is looked at, in parallel. A ``share`` below one
     reads fewer records and may miss a column that only few of them have.
     """
-    reader = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json")
-        .option("samplingRatio", share)
-    )
-    if since is not None:
-        reader = reader.option("modifiedAfter", since.strftime("%Y-%m-%dT%H:%M:%S")).option("timeZone", "UTC")
     try:
-        return reader.json(folder).schema
+        return changed_since(spark.read, since).option("samplingRatio", share).json(folder).schema
     except AnalysisException as problem:
         if problem.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return StructType()  # nothing new

@@ -19,6 +19,10 @@ INGESTED_AT, SOURCE_FILE = "_ingestion_timestamp", "_source_file"
 _ADDED = [StructField(INGESTED_AT, TimestampType(), True), StructField(SOURCE_FILE, StringType(), True)]
 
 
+class MissedColumns(RuntimeError):
+    """Records were stored without a column that their file had."""
+
+
 class Bronze(Mapping):
     """Raw tables fed by one file stream per endpoint.
 
@@ -57,10 +61,29 @@ class Bronze(Mapping):
         found = raw_schema.infer(self.spark, endpoint_folder(self.landing, endpoint), seen_until)
         hints = TABLES[endpoint].hint_schema if endpoint in TABLES else StructType()
         merged = raw_schema.merge(known, found, hints)
+        new = set(merged.names) - set(known.names)
+        if seen_until is not None and new and endpoint in self:
+            self._check_none_missed(endpoint, new, seen_until)
         # A file may land within the second of the look; the next look starts before it.
         self._schemas.save(endpoint, merged, now - dt.timedelta(seconds=2))
         return merged
 
+    def _check_none_missed(self, endpoint: str, new: set[str], since: dt.datetime) -> None:
+        """Fail if a file with a new column was already read without it.
+
+        That takes a file that landed between a look and the start of its stream.
+        """
+        landed = (
+            raw_schema.changed_since(self.spark.read.format("binaryFile"), since)
+            .load(endpoint_folder(self.landing, endpoint))
+            .select(F.col("_metadata.file_path").alias(SOURCE_FILE))
+        )
+        lately = self[endpoint].where(F.col(INGESTED_AT) >= F.lit(since)).select(SOURCE_FILE)
+        paths = [r[0] for r in landed.join(lately, SOURCE_FILE, "left_semi").collect()]
+        lost = new & set(self.spark.read.json(paths).columns) if paths else set()
+        if lost:
+            raise MissedColumns(f"{endpoint}: files were read before their columns {sorted(lost)} were known; refresh in full")
+
     def stream(self, endpoint: str, schema: StructType) -> DataFrame:
         """Unbounded frame of an endpoint's records with file and time of ingestion."""
         return (

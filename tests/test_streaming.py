@@ -53,6 +53,20 @@ def test_type_change_is_rescued_not_lost(spark, home):
     assert "+1 LAP" in kept
 
 
+def test_a_column_missed_by_the_look_is_noticed(spark, home, monkeypatch):
+    drop(spark, home, "pit", "session_key int", (1,))
+    raw = open_bronze(spark, home)
+    looked = raw.refresh_schema("pit")
+    drop(spark, home, "pit", "session_key int, reason string", (2, "tyres"))  # lands before the stream starts
+    monkeypatch.setattr(raw, "refresh_schema", lambda e: looked)
+    raw.ingest(["pit"])
+    with pytest.raises(bronze.MissedColumns, match="reason"):
+        open_bronze(spark, home).ingest(["pit"])
+    whole = open_bronze(spark, home).restarted()
+    whole.ingest(["pit"])
+    assert rows(whole["pit"], "session_key", "reason") == [(1, None), (2, "tyres")]
+
+
 def test_new_generation_reads_everything_again(spark, home):
     drop(spark, home, "pit", "session_key int", (1,), (2,))
     raw = open_bronze(spark, home)
