@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_RANK, _HASH = "__nth_of_key", "__hash_of_key"
+_RANK = "__nth_of_key"
 
 
 def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
@@ -28,6 +28,5 @@ def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str] | None =
     others = [F.col(f"`{c}`").asc_nulls_last() for c in (order or df.columns) if c not in key]
     if not others:
         return df.distinct()
-    df = df.withColumn(_HASH, F.xxhash64(*key))
-    per_key = Window.partitionBy(_HASH, *key).orderBy(*others)
-    return df.withColumn(_RANK, F.row_number().over(per_key)).where(F.col(_RANK) == 1).drop(_RANK, _HASH)
+    per_key = Window.partitionBy(F.xxhash64(*key), *key).orderBy(*others)
+    return df.select("*", F.row_number().over(per_key).alias(_RANK)).where(F.col(_RANK) == 1).drop(_RANK)

@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Enough digits for any timestamp Spark holds.
-_WRITE_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+# UTC, with enough digits for any timestamp Spark holds.
+_WRITE_OPTIONS = {
+    "timeZone": "UTC",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def endpoint_folder(root: str, endpoint: str) -> str:
@@ -28,7 +32,9 @@ def land(df: DataFrame, root: str, endpoint: str, records_per_file: int = 0) ->
     return folder
 
 
-def land_batches(df: DataFrame, root: str, endpoint: str, by: tuple[str, ...] = ("session_key", "driver_number")) -> str:
+def land_batches(
+    df: DataFrame, root: str, endpoint: str, by: tuple[str, ...] = ("session_key", "driver_number")
+) -> str:
     """Add records in one sub-folder per batch, such as ``session_key_7_driver_number_44``.
 
     For endpoints that are fetched piece by piece. Rows of a batch are brought
