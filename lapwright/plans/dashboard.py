@@ -28,15 +28,23 @@ def _rounded(column: str, places: int, name: str | None = None):
     return rounded(column, places).alias(name or column)
 
 
-def recent_sessions(tables: Tables, limit: int = 20) -> DataFrame:
-    """Latest sessions with their meeting and the count of drivers."""
+def recent_sessions(tables: Tables, limit: int = 20, spread: int = 16) -> DataFrame:
+    """Latest sessions with their meeting and the count of drivers.
+
+    Sessions are repeated ``spread`` times and each copy meets its share of the
+    driver numbers: in a left join Spark cannot itself split a key that is hot on
+    the right. The copies carry different drivers, so the distinct count stands.
+    """
     shown = ["session_name", "location", "country_name", "date_start", "session_type", "meeting_name"]
     meetings = tables["silver_meetings"].select("meeting_key", "meeting_name")
-    drivers = tables["silver_drivers"].select("session_key", "driver_number")
+    share = F.pmod("driver_number", F.lit(spread)).alias("share")
+    drivers = tables["silver_drivers"].select("session_key", "driver_number", share)
+    copies = F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("share")
     listed = (
         tables["silver_sessions"]
         .join(meetings, "meeting_key")
-        .join(drivers, "session_key", "left")
+        .select("session_key", *shown, copies)
+        .join(drivers, ["session_key", "share"], "left")
         .groupBy(*shown)
         .agg(F.count_distinct("driver_number").alias("drivers_count"))
     )

@@ -143,6 +143,17 @@ def test_weather_of_like_sessions_weighs_by_laps(racing):
     assert dashboard.weather_impact(t, as_of="2024-04-01").first().avg_air_temp_c == 12.5
 
 
+def test_recent_sessions_count_each_driver_once(racing):
+    t = racing(
+        meetings=[dict(meeting_key=1, meeting_name="M", year=2024)],
+        sessions=[session(k) | {"session_name": name} for k, name in ((1, "X"), (2, "X"), (3, "Y"))],
+        drivers=[driver(n, "D", session_key=k) for k in (1, 2) for n in (1, 2, 17, 33 + k)],
+    )
+    # Sessions 1 and 2 look alike and share three drivers; session 3 has none.
+    assert rows(dashboard.recent_sessions(t), "session_name", "drivers_count") == [("X", 5), ("Y", 0)]
+    assert rows(dashboard.recent_sessions(t, spread=1), "drivers_count") == [(0,), (5,)]
+
+
 def test_empty_tables_give_empty_answers_with_all_columns(racing):
     t = racing()
     for name in ("driver_performance", "race_summary", "team_performance", "tyre_strategy", "fastest_laps",
