@@ -16,6 +16,7 @@ from lapwright.plans.silver import distinct_typed
 from lapwright.schemas import GOLD_LAYOUT, TABLES
 
 APP_TABLES = ("silver_sessions", "silver_drivers", "gold_driver_performance", "gold_fastest_laps")
+RULED = tuple(endpoint for endpoint, spec in TABLES.items() if spec.rules)
 ALL_TABLES = (*[spec.silver for spec in TABLES.values()], *GOLD_LAYOUT)
 
 
@@ -104,7 +105,7 @@ def expected_tables(spark: SparkSession, tables: Tables) -> DataFrame:
     return table_audit(spark, tables, ALL_TABLES)
 
 
-def rule_report(raw: Tables, endpoints: Sequence[str] = ("meetings", "sessions", "drivers", "laps", "car_data")) -> DataFrame:
+def rule_report(raw: Tables, endpoints: Sequence[str] = RULED) -> DataFrame:
     """Rows that pass and fail each data-quality rule."""
     reports = [violations(distinct_typed(raw[e], TABLES[e]), TABLES[e]) for e in endpoints]
     return reduce(DataFrame.unionByName, reports)

@@ -82,7 +82,9 @@ class Bronze(Mapping):
         paths = [r[0] for r in landed.join(lately, SOURCE_FILE, "left_semi").collect()]
         lost = new & set(self.spark.read.json(paths).columns) if paths else set()
         if lost:
-            raise MissedColumns(f"{endpoint}: files were read before their columns {sorted(lost)} were known; refresh in full")
+            raise MissedColumns(
+                f"{endpoint}: files were read before their columns {sorted(lost)} were known; refresh in full"
+            )
 
     def stream(self, endpoint: str, schema: StructType) -> DataFrame:
         """Unbounded frame of an endpoint's records with file and time of ingestion."""

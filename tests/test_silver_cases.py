@@ -1,7 +1,5 @@
 """Casts, one row per key, and rules, on hand-written rows."""
 
-import datetime as dt
-
 import pytest
 from pyspark.sql import functions as F
 
