@@ -35,12 +35,11 @@ def identity(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
 
 def on_identity(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:
     """Join on the columns of `identity`, where two null ids are equal; `right` has one row per identity."""
-    same = (
-        left["doc_id"].eqNullSafe(right["doc_id"])
-        & (left["h1"] == right["h1"])
-        & (left["h2"] == right["h2"])
-    )
-    return left.join(right, same, how).drop(right["doc_id"], right["h1"], right["h2"])
+    keys = {c: f"other {c}" for c in ("doc_id", "h1", "h2")}
+    same = F.col("doc_id").eqNullSafe(F.col("`other doc_id`"))
+    for c in ("h1", "h2"):
+        same = same & (F.col(c) == F.col(f"`other {c}`"))
+    return left.join(right.withColumnsRenamed(keys), same, how).drop(*keys.values())
 
 
 def scratch(spark: SparkSession) -> str:

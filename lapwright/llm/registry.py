@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, token_counts
+from . import bpe, quality_classifier, quality_rules, simhash, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,7 +18,11 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 def queries() -> dict[str, Query]:
     return {
         "op2_bpe_round_trip": lambda spark, folder: bpe.round_trip(spark, folder, WORD_BPE),
+        "op3_simhash_groups": simhash.groups,
         "op5_token_counts": lambda spark, folder: token_counts.counts(spark, folder, BYTE_BPE),
+        "op6_quality_rules": quality_rules.verdicts,
+        "op9_warc_archive": warc.archive,
+        "op10_quality_scores": quality_classifier.scores,
     }
 
 
