@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality_classifier, quality_rules, simhash, token_counts, warc
+from . import bpe, decontamination, line_dedup, quality_classifier, quality_rules, secrets, simhash, sql, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,14 +17,21 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_secret_scan": secrets.scan,
         "op2_bpe_round_trip": lambda spark, folder: bpe.round_trip(spark, folder, WORD_BPE),
         "op3_simhash_groups": simhash.groups,
+        "op4_line_dedup": line_dedup.report,
         "op5_token_counts": lambda spark, folder: token_counts.counts(spark, folder, BYTE_BPE),
         "op6_quality_rules": quality_rules.verdicts,
+        "op7_decontamination": decontamination.report,
         "op9_warc_archive": warc.archive,
         "op10_quality_scores": quality_classifier.scores,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_line_dedup": sql.LINE_DEDUP,
+        "op6_quality_rules": sql.quality_rules(),
+        "op7_decontamination": sql.DECONTAMINATION,
+    }
