@@ -68,21 +68,23 @@ def _refined(rows: DataFrame, by: str, section: Column) -> DataFrame:
     return rows.join(ranked, ["rank", by]).drop("rank", by).withColumnRenamed("next", "rank")
 
 
-def suffix_ranks(rows: DataFrame, depth: int) -> DataFrame:
-    """Add r0, r1, ..: ranks of the suffixes within their block by their first 1, 2, 4, .. lines, up to `depth` lines."""
-    top_bits = lambda c: F.shiftright(c, 52)
-    start = rows.withColumn("rank", F.lit(1).cast("long"))
-    now = stored(_refined(_refined(start, "a", top_bits("a")), "b", top_bits("b")).withColumn("r0", F.col("rank")))
-    n = now.count()
-    width = max(1, -(-(n + 1) // SECTIONS))
-    in_block = Window.partitionBy(*KEYS, "block").orderBy("i")
+def suffix_ranks(rows: DataFrame, depth: int, keys: list[str], hashes: list[str]) -> DataFrame:
+    """Add r0, r1, ..: ranks of the suffixes of sequences by their first 1, 2, 4, .. elements, up to `depth` elements.
+
+    Rows are elements: `keys` name their sequence, i is their number in it, and `hashes` (64-bit) say which are equal.
+    """
+    now = rows.withColumn("rank", F.lit(1).cast("long"))
+    for h in hashes:
+        now = _refined(now, h, F.shiftright(h, 52))
+    now = stored(now.withColumn("r0", F.col("rank")))
+    width = max(1, -(-(now.count() + 1) // SECTIONS))
+    in_order = Window.partitionBy(*keys).orderBy("i")
     level, length = 0, 1
     while 2 * length <= depth:
-        # Past the end of the block stands 0, which sorts before every rank.
-        ahead = now.withColumn("ahead", F.coalesce(F.lead("rank", length).over(in_block), F.lit(0).cast("long")))
+        # Past the end of a sequence stands 0, which sorts before every rank.
+        ahead = now.withColumn("ahead", F.coalesce(F.lead("rank", length).over(in_order), F.lit(0).cast("long")))
         level, length = level + 1, 2 * length
-        section = F.expr(f"ahead div {width}")
-        next_ = stored(_refined(ahead, "ahead", section).withColumn(f"r{level}", F.col("rank")))
+        next_ = stored(_refined(ahead, "ahead", F.expr(f"ahead div {width}")).withColumn(f"r{level}", F.col("rank")))
         discard(now)
         now = next_
     return now.drop("rank")
@@ -113,7 +115,7 @@ def removed_runs(
 ) -> DataFrame:
     """Per distinct document with a deletion (`identity`): `removed`, an array of (first, last) line numbers from 0."""
     rows = stored(_candidates(_lines(docs, id_col, text_col), min_words))
-    ranks = suffix_ranks(rows, min_words)
+    ranks = suffix_ranks(rows, min_words, [*KEYS, "block"], ["a", "b"])
     levels = [c for c in ranks.columns if c.startswith("r") and c[1:].isdigit()]
 
     def of_level(k: Column) -> Column:

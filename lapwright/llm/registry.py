@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontamination, line_dedup, quality_classifier, quality_rules, secrets, simhash, sql, token_counts, warc
+from . import bpe, decontamination, html_text, line_dedup, quality_classifier, quality_rules, secrets, simhash, sql, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,7 @@ def queries() -> dict[str, Query]:
         "op5_token_counts": lambda spark, folder: token_counts.counts(spark, folder, BYTE_BPE),
         "op6_quality_rules": quality_rules.verdicts,
         "op7_decontamination": decontamination.report,
+        "op8_html_text": html_text.texts,
         "op9_warc_archive": warc.archive,
         "op10_quality_scores": quality_classifier.scores,
     }
