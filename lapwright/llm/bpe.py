@@ -8,40 +8,42 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import received, sent, table
+from .common import sent, slices, table
 from .pieces import WordPieces
 
-REMEMBERED = 300_000  # words whose ids a task keeps; memory only, no effect on results
+REMEMBERED = 400_000  # words whose ids a task keeps; memory only, no effect on results
 
 
 class Encoder:
-    """Texts to ids, with a bounded memory of words."""
+    """Texts to ids, with a bounded memory of words: when the newer half is full, the older one is forgotten."""
 
     def __init__(self, vocabulary: WordPieces, remembered: int = REMEMBERED):
-        self.vocabulary, self.remembered, self.known = vocabulary, remembered, {}
+        self.vocabulary, self.half, self.known, self.older = vocabulary, remembered // 2, {}, {}
 
     def word(self, word: str) -> bytes:
-        if len(self.known) >= self.remembered:
-            self.known.clear()
-        ids = array("I", self.vocabulary.pieces(word)).tobytes()
+        ids = self.older.get(word) or array("I", self.vocabulary.pieces(word)).tobytes()
         if len(word) <= 64:
+            if len(self.known) >= self.half:
+                self.known, self.older = {}, self.known
             self.known[word] = ids
         return ids
 
     def __call__(self, text: str) -> bytes:
         """Ids as packed little-endian unsigned 32-bit integers."""
-        v, known, out = self.vocabulary, self.known, []
+        v, out = self.vocabulary, []
         for i, part in enumerate(v.split(text)):
             if i % 2:
                 out.append(array("I", [v.special[part]]).tobytes())
             else:
-                out += [known.get(w) or self.word(w) for w in v.words(v.plain(part))]
+                known, word = self.known, self.word
+                out += [known.get(w) or word(w) for w in v.words(v.plain(part))]
         return b"".join(out)
 
 
@@ -51,13 +53,13 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text") -> DataFram
     A null text counts as empty and has no ids. Rows are independent, so repeated rows and ids get equal results; other
     columns pass through, and columns already named `ids` or `n_tokens` are replaced. An empty table gives an empty one.
     """
-    shared = sent(docs.sparkSession, WordPieces(vocabulary))  # some 50,000 entries, whatever the input
+    shared = sent(docs.sparkSession, Encoder(WordPieces(vocabulary)))  # some 50,000 entries, whatever the input
     kept = docs.drop("ids", "n_tokens")
     fields = kept.schema.fields + [T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(received(shared))
-        for batch in batches:
+        encoder = shared.value
+        for batch in chain.from_iterable(map(slices, batches)):
             ids = [encoder(text or "") for text in batch.column(text_col).to_pylist()]
             yield _with(batch, {"ids": pa.array(ids, pa.binary()), "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64())})
 
@@ -73,8 +75,8 @@ def decode(rows: DataFrame, vocabulary: str) -> DataFrame:
     kept = rows.drop("decoded")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name = received(shared).__getitem__
-        for batch in batches:
+        name = shared.value.__getitem__
+        for batch in chain.from_iterable(map(slices, batches)):
             texts = [
                 None if x is None else " ".join(map(name, array("I", x))) for x in batch.column("ids").to_pylist()
             ]

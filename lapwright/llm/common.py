@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import pickle
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,11 +67,22 @@ def discard(*frames: DataFrame) -> None:
         delete(df.sparkSession, df._stored_at)
 
 
+class _Sent:
+    """Pickles an object together with its classes and comes back as the object itself."""
+
+    def __init__(self, value: object):
+        self.value = value
+
+    def __reduce__(self):
+        return pickle.loads, (cloudpickle.dumps(self.value),)
+
+
 def sent(spark: SparkSession, value: object) -> Broadcast:
-    """Send an object of proven size to all tasks, with its classes."""
-    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    """Send an object of proven size to all tasks. A Python worker loads it once, for all its tasks."""
+    return spark.sparkContext.broadcast(_Sent(value))
 
 
-def received(shared: Broadcast) -> object:
-    """In a task: the object that was sent."""
-    return pickle.loads(shared.value)
+def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """A batch in parts, so that a task holds the Python objects of few rows at a time."""
+    for k in range(0, batch.num_rows, rows):
+        yield batch.slice(k, rows)

@@ -10,7 +10,7 @@ import json
 import re
 import sys
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import regex
 
@@ -27,28 +27,31 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(next(free)) for b in range(256)]
 
 
-def merge_short(word: str, cuts: list[int], rank: Callable[[str, str], int]) -> list[int]:
+def merge_short(word: str, cuts: list[int], ranks_of: dict[tuple[str, str], int]) -> list[int]:
     """Boundaries of the pieces of a word.
 
     ``cuts`` holds the part boundaries and ``ranks`` the rank of each part with its right neighbour, both contiguous.
     The lowest rank (the leftmost of equal ones) is looked for again and again; its inner boundary is deleted and the
     two ranks beside it are renewed.
     """
-    ranks = [rank(word[a:b], word[b:c]) for a, b, c in zip(cuts, cuts[1:], cuts[2:])]
+    rank = ranks_of.get
+    ranks = [rank((word[a:b], word[b:c]), NEVER) for a, b, c in zip(cuts, cuts[1:], cuts[2:])]
     while ranks:
         low = min(ranks)
         if low == NEVER:
             break
         i = ranks.index(low)
         del cuts[i + 1], ranks[i]
+        a, b = cuts[i], cuts[i + 1]
+        part = word[a:b]
         if i < len(ranks):
-            ranks[i] = rank(word[cuts[i] : cuts[i + 1]], word[cuts[i + 1] : cuts[i + 2]])
+            ranks[i] = rank((part, word[b : cuts[i + 2]]), NEVER)
         if i:
-            ranks[i - 1] = rank(word[cuts[i - 1] : cuts[i]], word[cuts[i] : cuts[i + 1]])
+            ranks[i - 1] = rank((word[cuts[i - 1] : a], part), NEVER)
     return cuts
 
 
-def merge_long(word: str, cuts: list[int], rank: Callable[[str, str], int]) -> list[int]:
+def merge_long(word: str, cuts: list[int], ranks_of: dict[tuple[str, str], int]) -> list[int]:
     """The same boundaries for a very long word, in n log n steps."""
     n = len(cuts) - 1
     after, before, live = [*range(1, n + 1)], [*range(-1, n - 1)], [True] * n
@@ -57,7 +60,7 @@ def merge_long(word: str, cuts: list[int], rank: Callable[[str, str], int]) -> l
 
     def offer(i: int) -> None:
         j = after[i]
-        if j < n and (r := rank(word[cuts[i] : end[i]], word[cuts[j] : end[j]])) != NEVER:
+        if j < n and (r := ranks_of.get((word[cuts[i] : end[i]], word[cuts[j] : end[j]]), NEVER)) != NEVER:
             heapq.heappush(queue, (r, i, end[i], end[j]))
 
     for i in range(n):
@@ -75,19 +78,13 @@ def merge_long(word: str, cuts: list[int], rank: Callable[[str, str], int]) -> l
     return [cuts[i] for i in range(n) if live[i]] + [cuts[n]]
 
 
-def _told_apart() -> str:
-    """Characters that the two regular-expression modules sort differently, as the inside of a character class."""
+def _told_apart() -> set[str]:
+    """Characters that the two regular-expression modules sort differently."""
     every = "".join(chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c <= 0xDFFF)
     differ: set[str] = set()
     for fast, exact in ((r"[^\W\d_]", r"\p{L}"), (r"\d", r"\p{N}"), (r"\s", r"\s")):
         differ |= set(re.findall(fast, every)) ^ set(regex.findall(exact, every))
-    runs: list[list[int]] = []
-    for code in sorted(map(ord, differ)):
-        if runs and runs[-1][1] == code - 1:
-            runs[-1][1] = code
-        else:
-            runs.append([code, code])
-    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in runs)
+    return differ
 
 
 class Words:
@@ -105,10 +102,13 @@ class Words:
             if spaced
             else r"'(?:[stmd]|re|ve|ll)|[^\W\d_]+|\d|(?:[^\s\w]|_)+"
         )
-        self.odd = re.compile(f"[{_told_apart()}]")
+        self.odd = _told_apart()
+        low = "".join(map(re.escape, sorted(c for c in self.odd if c < "\u0250")))
+        self.suspect = re.compile(f"[{low}\u0250-\U0010ffff]")  # all of them, and more, found at little cost
 
     def __call__(self, text: str) -> list[str]:
-        return (self.exact if self.odd.search(text) else self.fast).findall(text)
+        exact = self.suspect.search(text) and not self.odd.isdisjoint(text)
+        return (self.exact if exact else self.fast).findall(text)
 
 
 class WordPieces:
@@ -144,9 +144,6 @@ class WordPieces:
         # Letter by letter: a capital sigma at the end of a word is not special here.
         return text.lower() if "\u03a3" not in text else "".join(map(str.lower, text))
 
-    def rank(self, left: str, right: str) -> int:
-        return self.ranks.get((left, right), NEVER)
-
     def pieces(self, word: str) -> list[int]:
         """Ids of the pieces of one word; a letter that the vocabulary lacks is left out."""
         shown = "".join(map(self.letters.__getitem__, word.encode("utf-8")))
@@ -154,5 +151,5 @@ class WordPieces:
         if self.end:
             shown += self.end
         cuts = [*range(n), len(shown)]
-        cuts = (merge_short if n <= SHORT else merge_long)(shown, cuts, self.rank)
+        cuts = (merge_short if n <= SHORT else merge_long)(shown, cuts, self.ranks)
         return [i for a, b in zip(cuts, cuts[1:]) if (i := self.ids.get(shown[a:b])) is not None]

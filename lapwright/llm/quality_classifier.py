@@ -14,6 +14,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 from operator import eq
 
 import numpy as np
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import received, sent, table
+from .common import sent, slices, table
 
 BUCKETS = 1 << 18  # hashed indicators
 SAMPLE = 10_000  # labelled rows that the model is fitted on, at most
@@ -126,7 +127,7 @@ def fit(samples: DataFrame) -> tuple[np.ndarray, float, float]:
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(BUCKETS, dtype=bool)
-        for batch in batches:
+        for batch in chain.from_iterable(map(slices, batches)):
             found = [indicators(t or "", seen) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("place"), batch.column("label"), pa.array([f.tobytes() for f in found], pa.binary())],
@@ -177,9 +178,9 @@ def classify(
     names = others.columns
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, a, b = received(model)
+        weights, a, b = model.value
         seen = np.zeros(BUCKETS, dtype=bool)
-        for batch in batches:
+        for batch in chain.from_iterable(map(slices, batches)):
             margins = np.array(
                 [weights[indicators(t or "", seen)].sum(dtype=np.float64) for t in batch.column(text_col).to_pylist()]
             )

@@ -13,7 +13,7 @@ bucket's main component against all, and only links between components are emitt
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import identity, on_identity, stored, table
+from .common import identity, on_identity, slices, stored, table
 from .components import components
 
 BITS, SHINGLE, RADIUS, SEED = 64, 4, 4, 42
@@ -54,7 +54,7 @@ def fingerprints(rows: DataFrame, text_col: str = "text") -> DataFrame:
     names = others.columns
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chain.from_iterable(map(slices, batches)):
             found = np.array([fingerprint(t or "") for t in batch.column(text_col).to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [*map(batch.column, names), pa.array(found.view(np.int64))], [*names, "fp"]

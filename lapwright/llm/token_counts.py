@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import received, sent, stored, table
+from .common import sent, slices, stored, table
 from .pieces import WordPieces
 
 SENT = 100_000  # most pre-tokens that are sent to all tasks; the others are joined
@@ -27,8 +28,8 @@ def vocabulary_counts(docs: DataFrame, pieces: WordPieces, text_col: str = "text
     shared = sent(docs.sparkSession, pieces)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, seen = received(shared), Counter()
-        for batch in batches:
+        v, seen = shared.value, Counter()
+        for batch in chain.from_iterable(map(slices, batches)):
             for text in batch.column(0).to_pylist():
                 for i, part in enumerate(v.split(text or "")):
                     if not i % 2:
@@ -39,8 +40,8 @@ def vocabulary_counts(docs: DataFrame, pieces: WordPieces, text_col: str = "text
         yield _counted(seen)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = received(shared)
-        for batch in batches:
+        v = shared.value
+        for batch in chain.from_iterable(map(slices, batches)):
             sizes = [len(v.pieces(w)) for w in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes, pa.int32())], ["word", "n", "n_pieces"])
 
@@ -84,8 +85,8 @@ def count_tokens(
     shared = sent(spark, (pieces.marks, tuple(pieces.special), pieces.words, most_frequent(words, most_sent)))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks, special, find, known = received(shared)
-        for batch in batches:
+        marks, special, find, known = shared.value
+        for batch in chain.from_iterable(map(slices, batches)):
             sizes, sums, rare, times = [], [], [], []
             for text in batch.column("text").to_pylist():
                 text, n = text or "", 0
