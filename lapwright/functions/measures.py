@@ -19,7 +19,7 @@ def _col(c: Column | str) -> Column:
 
 def exact_total(c: Column | str) -> Column:
     """Sum over a group, as a decimal with ten places."""
-    return F.sum(_col(c).cast(DECIMAL))
+    return F.sum(_col(c).try_cast(DECIMAL))
 
 
 def mean_of(total: Column, count: Column) -> Column:
@@ -28,9 +28,13 @@ def mean_of(total: Column, count: Column) -> Column:
 
 
 def exact_mean(c: Column | str) -> Column:
-    """Mean of the non-NULL values of a group."""
+    """Mean of the non-NULL values of a group.
+
+    Where a value is no number of that many places (NaN, or 10**18 and more), it is the mean of doubles.
+    """
     c = _col(c)
-    return mean_of(exact_total(c), F.count(c))
+    fits = F.count(c.try_cast(DECIMAL)) == F.count(c)
+    return F.when(fits, mean_of(exact_total(c), F.count(c))).otherwise(F.avg(c.cast("double")))
 
 
 def rounded(c: Column | str, places: int) -> Column:
@@ -39,7 +43,8 @@ def rounded(c: Column | str, places: int) -> Column:
     Through a decimal with ten places, so that a value whose last binary digit
     puts it just under a half is still rounded up.
     """
-    return F.round(_col(c).cast(DECIMAL), places).cast("double")
+    exact = F.round(_col(c).try_cast(DECIMAL), places).cast("double")
+    return F.coalesce(exact, F.round(_col(c).cast("double"), places))
 
 
 def rounded_stddev(c: Column | str, places: int = 6) -> Column:

@@ -2,7 +2,7 @@ from lapwright.operators.conform import conform
 from lapwright.operators.dedupe import keep_first
 from lapwright.operators.interval_join import points_in_intervals
 from lapwright.operators.layout import clustered
-from lapwright.operators.quality import enforce, observed, violations
+from lapwright.operators.quality import enforce, observed, passes, violations
 from lapwright.operators.quantiles import exact_quantile
 from lapwright.operators.selection import first_n, latest_value, top_rows
 
@@ -15,6 +15,7 @@ __all__ = [
     "keep_first",
     "latest_value",
     "observed",
+    "passes",
     "points_in_intervals",
     "top_rows",
     "violations",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lapwright.schemas import Rule, TableSpec
@@ -15,19 +15,23 @@ def _holds(rule: Rule) -> Column:
     return F.coalesce(F.expr(rule.predicate), F.lit(False))
 
 
+def passes(spec: TableSpec) -> Column | None:
+    """Whether a row breaks no dropping rule; None for a table without such rules."""
+    dropping = [F.expr(f"({r.predicate})") for r in spec.rules if r.drops]
+    return reduce(lambda a, b: a & b, dropping) if dropping else None
+
+
 def enforce(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Drop rows that break any dropping rule of the table."""
-    dropping = [F.expr(f"({r.predicate})") for r in spec.rules if r.drops]
-    return df.where(reduce(lambda a, b: a & b, dropping)) if dropping else df
+    kept = passes(spec)
+    return df if kept is None else df.where(kept)
 
 
-def observed(df: DataFrame, spec: TableSpec, name: str) -> DataFrame:
-    """Attach violation counts to the job that reads ``df``; rows pass unchanged.
+def observed(df: DataFrame, spec: TableSpec, name: str | Observation) -> DataFrame:
+    """Attach row and violation counts to the job that reads ``df``; rows pass unchanged.
 
     The counts arrive with the query's own metrics, at no extra pass.
     """
-    if not spec.rules:
-        return df
     counts = [F.count_if(~_holds(r)).alias(r.name) for r in spec.rules]
     return df.observe(name, F.count(F.lit(1)).alias("rows"), *counts)
 

@@ -24,6 +24,7 @@ _LISTED = ["session_key", "session_name", "location", "date_start", "session_typ
 
 # The compounds that get a column in the usage matrix.
 COMPOUNDS = ("SOFT", "MEDIUM", "HARD", "INTERMEDIATE", "WET")
+OTHER = "OTHER"
 
 
 def sessions(tables: Tables, year: int | None = None, session_type: str | Sequence[str] | None = None) -> DataFrame:
@@ -355,11 +356,13 @@ def stint_quartiles(by_team: DataFrame, *by: str) -> DataFrame:
 
 
 def usage_matrix(by_team: DataFrame, compounds: Sequence[str] = COMPOUNDS) -> DataFrame:
-    """Stints per team and compound, a column for each listed compound."""
+    """Stints per team and compound: a column for each listed compound, and OTHER for all the rest."""
+    listed = F.coalesce(F.col("compound").isin(list(compounds)), F.lit(False))
     return (
         by_team.where("team_name is not null")
+        .withColumn("compound", F.when(listed, F.col("compound")).otherwise(OTHER))
         .groupBy("team_name")
-        .pivot("compound", list(compounds))
+        .pivot("compound", [*compounds, OTHER])
         .agg(F.sum("usage_count"))
         .fillna(0)
         .orderBy("team_name")

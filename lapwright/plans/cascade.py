@@ -6,14 +6,15 @@ from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lapwright.plans.gold import GOLD
 from lapwright.plans.silver import clean
-from lapwright.schemas import GOLD_FROM_GOLD, GOLD_FROM_SILVER, GOLD_LAYOUT, TABLES
+from lapwright.schemas import GOLD_FROM_GOLD, GOLD_FROM_SILVER, GOLD_LAYOUT, TABLES, TableSpec
 from lapwright.sources.tables import LazyTables, StoredTables
-from lapwright.streaming.bronze import Bronze, records
+from lapwright.streaming.bronze import Bronze, arrived, malformed
 
 PROCESSED_AT = "_processed_timestamp"
 
@@ -26,6 +27,16 @@ class Update:
     tables: Mapping[str, DataFrame]
     ingested: dict[str, int] = field(default_factory=dict)
     written: list[str] = field(default_factory=list)
+    # Rows and violations per rule of every rewritten silver table, and lines that were no records, per endpoint.
+    metrics: dict[str, dict[str, int]] = field(default_factory=dict)
+    malformed: dict[str, int] = field(default_factory=dict)
+
+
+def _counts(seen: Observation, spec: TableSpec) -> dict[str, int]:
+    try:
+        return dict(seen.get)
+    except Py4JJavaError:  # Spark drops the node that counts from the plan of an empty table
+        return dict.fromkeys(["rows", *(r.name for r in spec.rules)], 0)
 
 
 def _stamped(df: DataFrame) -> DataFrame:
@@ -46,12 +57,15 @@ def update(
     endpoints: Iterable[str] | None = None,
     full_refresh: bool = False,
     keep_versions: int = 2,
+    rebuild: bool = False,
 ) -> Update:
-    """Ingest new files, then rewrite cleaned and aggregated tables.
+    """Ingest new files, then rewrite the cleaned and aggregated tables that they concern.
 
     Tables are rewritten in dependency order, and a gold table reads what the
-    tables before it have stored. ``full_refresh`` reads all landed files again
-    into a new generation of raw tables. Of each table the newest ``keep_versions``
+    tables before it have stored. A silver table is left alone if its endpoint took in
+    nothing since it was written, and gold tables if no silver table changed; ``rebuild`` rewrites all, for
+    changed definitions. ``full_refresh`` reads all landed files again
+    into a new generation of raw tables; with ``endpoints``, tables of other endpoints stay as they are. Of each table the newest ``keep_versions``
     are kept, so that those who still read the version before can finish. A session that stops half-way leaves the
     earlier versions in place; the next update goes on from the checkpoints.
     """
@@ -62,10 +76,21 @@ def update(
     done = Update(bronze, {}, bronze.ingest(endpoints or TABLES))
     ingested = set(bronze)
 
+    def concerned(endpoint: str) -> bool:
+        # Times, not this run's counts: an update that died after ingesting is caught up with.
+        written = stored.written(TABLES[endpoint].silver)
+        return not written or endpoint in ingested and (rebuild or full_refresh or bronze.written(endpoint) >= written)
+
     def rewrite_silver(endpoint: str) -> str:
         spec = TABLES[endpoint]
-        raw = records(bronze[endpoint]) if endpoint in ingested else spark.createDataFrame([], spec.schema)
-        stored.overwrite(spec.silver, _stamped(clean(raw, endpoint, watch=spec.silver)), spec.layout)
+        if endpoint in ingested:
+            raw = arrived(bronze[endpoint])
+            done.malformed[endpoint] = malformed(bronze[endpoint]).count()
+        else:
+            raw = spark.createDataFrame([], spec.schema)
+        seen = Observation(spec.silver)
+        stored.overwrite(spec.silver, _stamped(clean(raw, endpoint, watch=seen)), spec.layout)
+        done.metrics[spec.silver] = _counts(seen, spec)
         return spec.silver
 
     def rewrite_gold(name: str) -> str:
@@ -73,10 +98,15 @@ def update(
         return name
 
     # Tables of one step do not read each other: small ones run beside large ones.
-    steps = ((rewrite_silver, list(TABLES)), (rewrite_gold, GOLD_FROM_SILVER), (rewrite_gold, GOLD_FROM_GOLD))
+    silver = [e for e in TABLES if concerned(e)]
+    latest = max((stored.written(TABLES[e].silver) for e in TABLES), default=0)
+    gold = bool(silver) or rebuild or any(stored.written(n) <= latest for n in GOLD_LAYOUT)
+    steps = [(rewrite_silver, silver), *[(rewrite_gold, s if gold else ()) for s in (GOLD_FROM_SILVER, GOLD_FROM_GOLD)]]
     with ThreadPoolExecutor(max_workers=8) as pool:
         for rewrite, step in steps:
             done.written += pool.map(rewrite, step)
+    if full_refresh and ingested.issuperset(e for e in TABLES if bronze.landed(e)):
+        bronze.prune()
     for name in done.written:
         stored.prune(name, keep_versions)
     done.tables = all_tables(bronze, stored)

@@ -44,8 +44,10 @@ def _expected(tables: Tables, drivers_per_session: int | None) -> DataFrame:
     return first_n(listed, ["session_key"], ["driver_number"], drivers_per_session)
 
 
-def telemetry_sample(tables: Tables, min_speed: int | None = 50, drivers_per_session: int = 5) -> DataFrame:
-    """Telemetry of the first drivers of each session."""
+def telemetry_sample(
+    tables: Tables, min_speed: int | None = 50, drivers_per_session: int | None = None
+) -> DataFrame:
+    """Telemetry of all listed drivers, or of the first so many of each session."""
     return telemetry(tables, min_speed).join(_expected(tables, drivers_per_session), ENTRY, "left_semi")
 
 
@@ -72,7 +74,7 @@ def telemetry_coverage(
 
 
 def telemetry_totals(coverage: DataFrame) -> DataFrame:
-    """Successful and expected fetches over all sessions, in the words of an ingest log."""
+    """Successful and expected fetches over all sessions; the summary is a fixed phrase of the ingest log."""
     total, ok = F.coalesce(F.sum("expected"), F.lit(0)), F.coalesce(F.sum("available_fast"), F.lit(0))
     return coverage.agg(
         total.alias("total_fetches"),

@@ -143,8 +143,9 @@ def lap_distribution(tables: Tables) -> DataFrame:
     """
     circuit = ["location", "circuit_short_name"]
     races = only(tables["silver_sessions"], session_type="Race").select("session_key", *circuit)
-    laps = clear_laps(tables).select("session_key", "lap_duration").join(races, "session_key")
-    times = value_counts(laps, circuit, "lap_duration")
+    # Equal times of a session are counted before the join, so a session with very many laps is no hot key there.
+    per_session = value_counts(clear_laps(tables), ["session_key"], "lap_duration")
+    times = value_counts(per_session.join(races, "session_key"), circuit, "lap_duration", weight="n")
     x, n = F.col("lap_duration"), F.col("n")
     total, squares = exact_total(x * n), exact_total(x * x * n)
     figures = times.groupBy(*circuit).agg(

@@ -1,16 +1,16 @@
 """Cleaned tables: typed, one row per key, rules applied, in that order.
 
-Rules see the row that survived de-duplication, so a key whose surviving row
-breaks a dropping rule is gone, even if another copy would have passed.
+Of the copies of a key one that breaks no dropping rule survives if there is one,
+so a key is gone only where every copy of it breaks a rule.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
-from lapwright.operators import conform, enforce, keep_first, observed
+from lapwright.operators import conform, enforce, keep_first, observed, passes
 from lapwright.schemas import TABLES, TableSpec
 
 
@@ -20,11 +20,11 @@ def distinct_typed(raw: DataFrame, spec: TableSpec) -> DataFrame:
     if not spec.key:
         return typed
     arrived = set(raw.columns)
-    return keep_first(typed, spec.key, [c for c in spec.schema.names if c in arrived])
+    return keep_first(typed, spec.key, [c for c in spec.schema.names if c in arrived], prefer=passes(spec))
 
 
-def clean(raw: DataFrame, endpoint: str, watch: str | None = None) -> DataFrame:
-    """Silver table of an endpoint; ``watch`` names the metrics that count violations."""
+def clean(raw: DataFrame, endpoint: str, watch: str | Observation | None = None) -> DataFrame:
+    """Silver table of an endpoint; ``watch`` receives or names the metrics that count violations."""
     spec = TABLES[endpoint]
     rows = distinct_typed(raw, spec)
     if watch:

@@ -22,6 +22,6 @@ def final_positions(laps: DataFrame) -> DataFrame:
     return _placed(laps, F.desc("driven"))
 
 
-def grid_positions(laps: DataFrame, up_to_lap: int = 20) -> DataFrame:
-    """Best time within the first laps."""
-    return _placed(laps.where(F.col("lap_number") <= up_to_lap))
+def grid_positions(laps: DataFrame) -> DataFrame:
+    """Best time first."""
+    return _placed(laps)

@@ -12,6 +12,10 @@ from functools import cached_property
 from pyspark.sql.types import StructType
 
 
+# Raw column with the text of a record that did not fit its columns.
+RESCUED = "_rescued_data"
+
+
 @dataclass(frozen=True)
 class Rule:
     """A named predicate that a row has to satisfy (NULL does not satisfy it)."""
@@ -178,9 +182,6 @@ _SPECS = (
 
 TABLES: dict[str, TableSpec] = {spec.endpoint: spec for spec in _SPECS}
 
-# Landed and read, but never given a table of its own.
-LANDING_ONLY = ("location",)
-
 # Gold tables and the columns they are clustered by.
 GOLD_LAYOUT: dict[str, tuple[str, ...]] = {
     "gold_driver_performance": ("session_key", "driver_number"),

@@ -24,6 +24,14 @@ def child_names(spark: SparkSession, location: str) -> list[str]:
     return [status.getPath().getName() for status in system.listStatus(path)]
 
 
+def newest(spark: SparkSession, location: str) -> int:
+    """Latest modification time of what lies directly under a folder, in milliseconds; 0 if nothing does."""
+    path, system = _path(spark, location)
+    if not system.exists(path):
+        return 0
+    return max((status.getModificationTime() for status in system.listStatus(path)), default=0)
+
+
 def has_visible_files(spark: SparkSession, location: str) -> bool:
     """Whether a folder holds anything that Spark would read."""
     return any(not n.startswith(("_", ".")) for n in child_names(spark, location))

@@ -7,12 +7,11 @@ import json
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrameReader, SparkSession
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+from lapwright.schemas import RESCUED
 from lapwright.sources import files
 
-RESCUED = "_rescued_data"
-
 
 def changed_since(reader: DataFrameReader, since: dt.datetime | None) -> DataFrameReader:
     """Reader of JSON files below a folder, restricted to those changed after a time."""
@@ -36,17 +35,24 @@ def infer(spark: SparkSession, folder: str, since: dt.datetime | None = None, sh
         raise
 
 
-def merge(known: StructType, found: StructType, hints: StructType) -> StructType:
+def merge(
+    known: StructType, found: StructType, hints: StructType, listed: StructType | None = None
+) -> StructType:
     """Known columns keep place and type, new ones follow, hinted types win.
 
-    A known type is never changed, since files of that type are already stored. A
-    later value of another type is kept as text in the rescued-data column.
+    A column whose ``listed`` type is double starts as one, even if all values so far are
+    whole numbers. A known type is never changed, since files of that type are already
+    stored. A later value of another type is kept as text in the rescued-data column.
     """
     hinted = {f.name: f.dataType for f in hints}
+    measures = {f.name for f in listed or () if isinstance(f.dataType, DoubleType)}
     merged = {f.name: f for f in known}
     for field in [*hints, *found]:
         if field.name not in merged and field.name != RESCUED:
-            merged[field.name] = StructField(field.name, hinted.get(field.name, field.dataType), True)
+            kind = hinted.get(field.name, field.dataType)
+            if field.name in measures and isinstance(kind, LongType):
+                kind = DoubleType()
+            merged[field.name] = StructField(field.name, kind, True)
     return StructType(list(merged.values()))
 
 

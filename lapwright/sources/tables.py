@@ -57,6 +57,11 @@ class StoredTables(Mapping):
                 return folder
         return None
 
+    def written(self, name: str) -> int:
+        """When the newest complete version was finished, in milliseconds; 0 if there is none."""
+        folder = self.location(name)
+        return files.newest(self.spark, folder) if folder else 0
+
     def overwrite(self, name: str, df: DataFrame, layout: tuple[str, ...] = ()) -> str:
         """Write the whole table anew; ``layout`` names the columns to cluster by."""
         version = max(self._versions(name), default=0) + 1

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
@@ -16,6 +16,8 @@ from lapwright.sources import files, raw_schema
 from lapwright.sources.landing import endpoint_folder
 
 INGESTED_AT, SOURCE_FILE = "_ingestion_timestamp", "_source_file"
+# The source passes over files older than this against the newest one: a hundred years.
+FILE_AGE = "36500d"
 _ADDED = [StructField(INGESTED_AT, TimestampType(), True), StructField(SOURCE_FILE, StringType(), True)]
 
 
@@ -58,9 +60,17 @@ class Bronze(Mapping):
         """Look at files landed since the last look and widen the stored schema."""
         known, seen_until = self._schemas.load(endpoint)
         now = dt.datetime.now(dt.timezone.utc).replace(microsecond=0)
-        found = raw_schema.infer(self.spark, endpoint_folder(self.landing, endpoint), seen_until)
-        hints = TABLES[endpoint].hint_schema if endpoint in TABLES else StructType()
-        merged = raw_schema.merge(known, found, hints)
+        since = seen_until
+        if seen_until is not None:
+            # A file may arrive with an old time: look from the oldest one that was not read yet.
+            oldest = self.unread(endpoint).agg(F.min("modificationTime").cast("double")).first()[0]
+            if oldest is not None:
+                since = min(since, dt.datetime.fromtimestamp(int(oldest) - 1, dt.timezone.utc))
+        found = raw_schema.infer(self.spark, endpoint_folder(self.landing, endpoint), since)
+        spec = TABLES.get(endpoint)
+        merged = raw_schema.merge(
+            known, found, spec.hint_schema if spec else StructType(), spec.schema if spec else None
+        )
         new = set(merged.names) - set(known.names)
         if seen_until is not None and new and endpoint in self:
             self._check_none_missed(endpoint, new, seen_until)
@@ -86,6 +96,19 @@ class Bronze(Mapping):
                 f"{endpoint}: files were read before their columns {sorted(lost)} were known; refresh in full"
             )
 
+    def unread(self, endpoint: str) -> DataFrame:
+        """Landed files that are not in the raw table: ``_source_file`` and ``modificationTime``."""
+        landed = (
+            raw_schema.changed_since(self.spark.read.format("binaryFile"), None)
+            .load(endpoint_folder(self.landing, endpoint))
+            .select(F.col("_metadata.file_path").alias(SOURCE_FILE), "modificationTime", "length")
+            .where("length > 0")
+            .drop("length")
+        )
+        if endpoint not in self:
+            return landed
+        return landed.join(ingested_files(self[endpoint]), SOURCE_FILE, "left_anti")
+
     def stream(self, endpoint: str, schema: StructType) -> DataFrame:
         """Unbounded frame of an endpoint's records with file and time of ingestion."""
         return (
@@ -94,6 +117,7 @@ class Bronze(Mapping):
             .option("recursiveFileLookup", "true")
             .option("pathGlobFilter", "*.json")
             .option("maxBytesPerTrigger", self.batch_bytes)
+            .option("maxFileAge", FILE_AGE)
             .json(endpoint_folder(self.landing, endpoint))
             .withColumn(INGESTED_AT, F.current_timestamp())
             .withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
@@ -118,15 +142,34 @@ class Bronze(Mapping):
         Endpoints without landed files are left out. If a stream fails, the others
         still finish, and the failed one goes on from its checkpoint next time.
         """
-        landed = [e for e in endpoints if files.has_visible_files(self.spark, endpoint_folder(self.landing, e))]
+        landed = [e for e in endpoints if self.landed(e)]
         with ThreadPoolExecutor(max_workers=8) as pool:
             waiting = {e: pool.submit(self._run, e) for e in landed}
         return {e: added.result() for e, added in waiting.items()}
 
+    def landed(self, endpoint: str) -> bool:
+        """Whether an endpoint has landed files."""
+        return files.has_visible_files(self.spark, endpoint_folder(self.landing, endpoint))
+
     def _run(self, endpoint: str) -> int:
+        # Progress reports are kept for the last batches only, so records are counted in the table.
+        before = self._stored(endpoint)
         query = self.start(endpoint)
         query.awaitTermination()
-        return sum(p["numInputRows"] for p in query.recentProgress)
+        return self._stored(endpoint) - before
+
+    def _stored(self, endpoint: str) -> int:
+        return self[endpoint].count() if endpoint in self else 0
+
+    def written(self, endpoint: str) -> int:
+        """When the last batch of an endpoint was committed, in milliseconds; 0 if none was."""
+        return files.newest(self.spark, f"{self._home}/{endpoint}/_spark_metadata")
+
+    def prune(self) -> None:
+        """Delete generations older than the one before this."""
+        for name in files.child_names(self.spark, self.root):
+            if name.startswith("g=") and int(name[2:]) < self.generation - 1:
+                files.delete(self.spark, f"{self.root}/{name}")
 
     def __getitem__(self, endpoint: str) -> DataFrame:
         schema, looked = self._schemas.load(endpoint)
@@ -147,6 +190,24 @@ class Bronze(Mapping):
         return endpoint in set(iter(self))
 
 
+def arrived(bronze_table: DataFrame) -> DataFrame:
+    """The landed columns with the rescued text. A line that is no record at all is left out; see `malformed`."""
+    return bronze_table.where(~_broken(bronze_table)).drop(INGESTED_AT, SOURCE_FILE)
+
+
+def malformed(bronze_table: DataFrame) -> DataFrame:
+    """Lines of which nothing could be read: their text, file and time."""
+    return bronze_table.where(_broken(bronze_table)).select(raw_schema.RESCUED, SOURCE_FILE, INGESTED_AT)
+
+
+def _broken(bronze_table: DataFrame) -> Column:
+    landed = [c for c in bronze_table.columns if c not in (INGESTED_AT, SOURCE_FILE, raw_schema.RESCUED)]
+    nothing = F.col(raw_schema.RESCUED).isNotNull()
+    for c in landed:
+        nothing = nothing & F.col(f"`{c}`").isNull()
+    return nothing
+
+
 def records(bronze_table: DataFrame) -> DataFrame:
     """The landed columns alone, without those added on the way in."""
     return bronze_table.drop(INGESTED_AT, SOURCE_FILE, raw_schema.RESCUED)

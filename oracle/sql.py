@@ -42,8 +42,8 @@ from (select distinct session_key, driver_number from raw_laps), (values (1), (2
 CTE["raw_all_dirty_meetings"] = "select * from raw_dirty_meetings union all select * from raw_keyless_meetings"
 
 
-def _silver(raw: str, columns: str, key: str = "", where: str = "true") -> str:
-    """Typed columns, first row per key with NULL last, then the rule."""
+def _silver(raw: str, columns: str, key: str = "", where: str = "true", prefer: str = "") -> str:
+    """Typed columns, first row per key (one that passes the rule if there is one) with NULL last, then the rule."""
     typed, others = [], []
     present = {"raw_stints": "session_key driver_number stint_number lap_start lap_end compound tyre_age_at_start",
                "raw_all_dirty_meetings": " ".join(VIEWS["dirty_meetings"].columns),
@@ -60,7 +60,8 @@ def _silver(raw: str, columns: str, key: str = "", where: str = "true") -> str:
     if not key:
         return f"select * from ({inner}) where {where}"
     return (
-        f"select * exclude (nth) from (select *, row_number() over (partition by {key} order by {', '.join(others)}) "
+        f"select * exclude (nth) from (select *, row_number() over (partition by {key} order by "
+        f"coalesce(({prefer or where}), false) desc, {', '.join(others)}) "
         f"as nth from ({inner})) where nth = 1 and ({where})"
     )
 
@@ -83,7 +84,7 @@ LAP_KEY = "session_key, driver_number, lap_number"
 CTE.update(
     silver_meetings=_silver("raw_meetings", MEETING, "meeting_key", MEETING_OK),
     clean_dirty_meetings=_silver("raw_all_dirty_meetings", MEETING, "meeting_key", MEETING_OK),
-    unruled_dirty_meetings=_silver("raw_all_dirty_meetings", MEETING, "meeting_key"),
+    unruled_dirty_meetings=_silver("raw_all_dirty_meetings", MEETING, "meeting_key", prefer=MEETING_OK),
     silver_sessions=_silver(
         "raw_sessions",
         "session_key int, session_name varchar, session_type varchar, meeting_key int, location varchar, "
@@ -102,7 +103,7 @@ CTE.update(
     ),
     silver_laps=_silver("raw_laps", LAP, LAP_KEY, LAP_OK),
     clean_dirty_laps=_silver("raw_dirty_laps", LAP, LAP_KEY, LAP_OK),
-    unruled_dirty_laps=_silver("raw_dirty_laps", LAP, LAP_KEY),
+    unruled_dirty_laps=_silver("raw_dirty_laps", LAP, LAP_KEY, prefer=LAP_OK),
     silver_pit=_silver(
         "raw_pit",
         "session_key int, meeting_key int, driver_number int, date timestamp, lap_number int, pit_duration double",
@@ -154,7 +155,7 @@ from (select session_key, driver_number, count(*) as n, min(lap_duration) as bes
     raw_starting_grid="""
 select session_key, driver_number, row_number() over (partition by session_key order by best, driver_number) as position
 from (select session_key, driver_number, min(lap_duration) as best
-      from silver_laps where lap_duration is not null and lap_number <= 20 group by all)""",
+      from silver_laps where lap_duration is not null  group by all)""",
     silver_session_result=_silver(
         "raw_session_result", "session_key int, meeting_key int, driver_number int, position int"
     ),
@@ -577,7 +578,9 @@ Q["app_stint_quartiles_by_compound"] = f"select compound, {_QUARTILES} from ({_B
 Q["app_usage_pivot"] = f"""
 select team_name, {', '.join(
     f"cast(coalesce(sum(case when compound = '{c}' then usage_count end), 0) as bigint) as {c}"
-    for c in ("SOFT", "MEDIUM", "HARD", "INTERMEDIATE", "WET"))}
+    for c in ("SOFT", "MEDIUM", "HARD", "INTERMEDIATE", "WET"))},
+  cast(coalesce(sum(case when compound in ('SOFT', 'MEDIUM', 'HARD', 'INTERMEDIATE', 'WET') then 0
+    else usage_count end), 0) as bigint) as "OTHER"
 from ({_BY_TEAM}) where team_name is not null group by team_name"""
 
 
@@ -634,7 +637,7 @@ from ({_PAIRS.format('silver_drivers')}) group by session_key"""
 Q["telemetry_totals"] = f"""
 select count(*) as total_fetches, count_if(seen_fast) as successful,
   cast(count_if(seen_fast) as varchar) || '/' || cast(count(*) as varchar) || ' fetches successful' as summary
-from ({_PAIRS.format(_FIRST)})"""
+from ({_PAIRS.format('silver_drivers')})"""
 Q["telemetry_missing"] = f"""
 select session_key, driver_number from ({_PAIRS.format('silver_drivers')}) where not seen"""
 Q["telemetry_sample"] = f"""

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from lapwright.plans import app, checks, dashboard, explore
@@ -82,8 +83,10 @@ def test_cards(season):
 
 def test_usage_matrix_has_fixed_columns(season):
     got = app.usage_matrix(app.tyres_by_team(season))
-    assert got.columns == ["team_name", "SOFT", "MEDIUM", "HARD", "INTERMEDIATE", "WET"]
-    assert rows(got) == [("Red", 1, 0, 1, 0, 0)]
+    assert got.columns == ["team_name", "SOFT", "MEDIUM", "HARD", "INTERMEDIATE", "WET", "OTHER"]
+    assert rows(got) == [("Red", 1, 0, 1, 0, 0, 0)]
+    odd = app.tyres_by_team(season).withColumn("compound", F.expr("if(compound = 'HARD', 'UNKNOWN', compound)"))
+    assert rows(app.usage_matrix(odd)) == [("Red", 1, 0, 0, 0, 0, 1)]
 
 
 def test_recent_races_list_teams_by_name(season):

@@ -39,6 +39,32 @@ def test_updates_add_only_new_records(updated):
     assert second.ingested == {"sessions": 0, "drivers": 0, "laps": 1}
     assert third.ingested == {"sessions": 1, "drivers": 2, "laps": 5}
     assert len(first.written) == 15 + 6
+    assert [n for n in second.written if n.startswith("silver")] == ["silver_laps"]
+    assert len(second.written) == 1 + 6
+    assert third.metrics["silver_laps"] == {"rows": 4, "valid_lap": 0, "valid_duration": 1}
+    assert set(third.malformed.values()) == {0}
+
+
+def test_nothing_new_writes_nothing_and_a_part_can_be_refreshed(spark, tmp_path):
+    home = str(tmp_path)
+    for endpoint in ("drivers", "laps"):
+        landing.land(spark.createDataFrame([(1, 44)], "session_key int, driver_number int"), f"{home}/landing", endpoint)
+    update(spark, f"{home}/landing", f"{home}/lake")
+    assert update(spark, f"{home}/landing", f"{home}/lake").written == []
+    part = update(spark, f"{home}/landing", f"{home}/lake", endpoints=["laps"], full_refresh=True)
+    assert part.tables["silver_drivers"].count() == 1
+    assert [n for n in part.written if n.startswith("silver")] == ["silver_laps"]
+    again = update(spark, f"{home}/landing", f"{home}/lake")
+    assert again.tables["silver_drivers"].count() == 1 and again.tables["bronze_drivers"].count() == 1
+
+
+def test_broken_lines_are_counted_and_kept_out(spark, tmp_path):
+    home = str(tmp_path)
+    landing.land(spark.createDataFrame([(1, 44)], "session_key int, driver_number int"), f"{home}/landing", "position")
+    (tmp_path / "landing" / "position" / "cut.json").write_text('{"session_key": 1, "driver_num\n')
+    done = update(spark, f"{home}/landing", f"{home}/lake")
+    assert done.malformed["position"] == 1 and done.metrics["silver_position"]["rows"] == 1
+    assert done.tables["silver_position"].count() == 1
 
 
 def test_tables_follow(updated):

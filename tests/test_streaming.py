@@ -1,11 +1,15 @@
 """Landing files to raw tables: each file once, across runs, failures and new columns."""
 
 import datetime as dt
+import os
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from lapwright.plans.silver import clean
 from lapwright.sources import landing
 from lapwright.sources.raw_schema import merge
 from lapwright.streaming import bronze
@@ -53,6 +57,40 @@ def test_type_change_is_rescued_not_lost(spark, home):
     assert "+1 LAP" in kept
 
 
+def test_measures_are_not_frozen_as_whole_numbers(spark, home):
+    drop(spark, home, "laps", "session_key int, lap_number int, lap_duration int, i1_speed int", (1, 1, 90, 300))
+    raw = open_bronze(spark, home)
+    raw.ingest(["laps"])
+    drop(spark, home, "laps", "session_key int, lap_number int, lap_duration double, i1_speed string", (1, 2, 90.5, "301"))
+    raw.ingest(["laps"])
+    typed = clean(bronze.arrived(raw["laps"]), "laps")
+    assert rows(typed, "lap_number", "lap_duration", "i1_speed") == [(1, 90.0, 300), (2, 90.5, 301)]
+
+
+def test_files_with_an_old_time_are_read(spark, home):
+    drop(spark, home, "pit", "session_key int", (1,))
+    raw = open_bronze(spark, home)
+    raw.ingest(["pit"])
+    drop(spark, home, "pit", "session_key int, reason string", (2, "tyres"))
+    old = time.time() - 30 * 86400
+    for file in Path(home, "landing", "pit").rglob("*.json"):
+        if "tyres" in file.read_text():
+            os.utime(file, (old, old))
+    assert raw.unread("pit").count() == 1
+    assert raw.ingest(["pit"]) == {"pit": 1}
+    assert rows(raw["pit"], "session_key", "reason") == [(1, None), (2, "tyres")]
+    assert raw.unread("pit").count() == 0
+
+
+def test_records_of_many_batches_are_counted(spark, home):
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    for i in range(5):
+        drop(spark, home, "pit", "session_key int", (i,))
+    raw = bronze.Bronze(spark, f"{home}/landing", f"{home}/raw", batch_bytes=1)
+    assert raw.ingest(["pit"]) == {"pit": 5}
+    spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+
+
 def test_a_column_missed_by_the_look_is_noticed(spark, home, monkeypatch):
     drop(spark, home, "pit", "session_key int", (1,))
     raw = open_bronze(spark, home)
