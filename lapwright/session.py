@@ -39,13 +39,20 @@ def local_session(cores: str | int = "*", partitions: int = 8, memory: str = "8g
     return session
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply what answers depend on to a session that was made elsewhere."""
+    for key in ("spark.sql.session.timeZone", "spark.sql.adaptive.forceOptimizeSkewedJoin"):
+        spark.conf.set(key, SETTINGS[key])
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, named by ``spark.checkpoint.dir``.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
     Only where a session names none, as in local tests, is a new local folder
     made and remembered in the session.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         folder = spark.conf.get("lapwright.scratch", None)
     if not folder:

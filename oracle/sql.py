@@ -643,6 +643,22 @@ select session_key, driver_number from ({_PAIRS.format('silver_drivers')}) where
 Q["telemetry_sample"] = f"""
 select c.* from silver_car_data c where c.speed >= 50
   and (c.session_key, c.driver_number) in (select (session_key, driver_number) from {_FIRST})"""
+Q["telemetry_span"] = """
+select * from silver_car_data where speed >= 50 and date between timestamp '2024-01-05' and timestamp '2024-01-20'"""
+
+# Landed files.
+Q["ingest_two_drops"] = """
+select session_key, driver_number, lap_number, case when lap_number % 2 = 0 then floor(pit_duration) else pit_duration end
+    as pit_duration, case when lap_number % 2 = 1 then 'crew ' || driver_number end as crew from raw_pit"""
+Q["ingest_named_batches"] = """
+select 'session_key_' || session_key || '_driver_number_' || driver_number as batch, count(*) as records
+from raw_pit group by session_key, driver_number"""
+Q["ingest_replaced"] = """
+select session_key, count(*) as records, cast(sum(rainfall) as bigint) as rain from raw_weather where rainfall = 0
+group by session_key"""
+Q["cascade_counts"] = _audit(
+    "silver_sessions silver_drivers silver_laps silver_pit gold_driver_performance gold_fastest_laps"
+).replace('true as "exists", ', "")
 
 # Season questions.
 Q["ask_pole_positions"] = """
