@@ -193,7 +193,8 @@ def write(
         if done:
             yield pa.RecordBatch.from_pandas(pd.DataFrame(done, columns=["shard", "file", "records", "bytes", "sha256"]).astype({"shard": "int32"}), preserve_index=False)
 
-    dealt.mapInArrow(task, FILES).coalesce(1).write.mode("overwrite").json(f"{root}/manifest")
+    # Repartitioned, not coalesced, which would make one task write all files.
+    dealt.mapInArrow(task, FILES).repartition(1).write.mode("overwrite").json(f"{root}/manifest")
 
 
 def records_of(data: bytes) -> Iterator[tuple]:
