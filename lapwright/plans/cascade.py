@@ -30,6 +30,15 @@ class Update:
     # Rows and violations per rule of every rewritten silver table, and lines that were no records, per endpoint.
     metrics: dict[str, dict[str, int]] = field(default_factory=dict)
     malformed: dict[str, int] = field(default_factory=dict)
+    failed: dict[str, Exception] = field(default_factory=dict)
+
+
+class PartlyFailed(RuntimeError):
+    """Some streams failed; ``done`` is what was updated without them, and holds their errors."""
+
+    def __init__(self, done: Update):
+        super().__init__("; ".join(f"{e}: {error}" for e, error in sorted(done.failed.items())))
+        self.done = done
 
 
 def _counts(seen: Observation, spec: TableSpec) -> dict[str, int]:
@@ -67,13 +76,15 @@ def update(
     changed definitions. ``full_refresh`` reads all landed files again
     into a new generation of raw tables; with ``endpoints``, tables of other endpoints stay as they are. Of each table the newest ``keep_versions``
     are kept, so that those who still read the version before can finish. A session that stops half-way leaves the
-    earlier versions in place; the next update goes on from the checkpoints.
+    earlier versions in place; the next update goes on from the checkpoints. If the stream of an
+    endpoint fails, everything else is still updated, and ``PartlyFailed`` tells of both.
     """
     bronze = Bronze(spark, landing, f"{root.rstrip('/')}/bronze")
     if full_refresh:
         bronze = bronze.restarted()
     stored = StoredTables(spark, f"{root.rstrip('/')}/tables")
-    done = Update(bronze, {}, bronze.ingest(endpoints or TABLES))
+    done = Update(bronze, {})
+    done.ingested = bronze.ingest(endpoints or TABLES, done.failed)
     ingested = set(bronze)
 
     def concerned(endpoint: str) -> bool:
@@ -110,4 +121,6 @@ def update(
     for name in done.written:
         stored.prune(name, keep_versions)
     done.tables = all_tables(bronze, stored)
+    if done.failed:
+        raise PartlyFailed(done)
     return done

@@ -136,16 +136,26 @@ class Bronze(Mapping):
             .start()
         )
 
-    def ingest(self, endpoints: Iterable[str]) -> dict[str, int]:
+    def ingest(self, endpoints: Iterable[str], failed: dict[str, Exception] | None = None) -> dict[str, int]:
         """Run the streams of several endpoints side by side; records added by endpoint.
 
         Endpoints without landed files are left out. If a stream fails, the others
-        still finish, and the failed one goes on from its checkpoint next time.
+        still finish, and the failed one goes on from its checkpoint next time. Its error is
+        put into ``failed`` where that is given, and raised otherwise.
         """
         landed = [e for e in endpoints if self.landed(e)]
         with ThreadPoolExecutor(max_workers=8) as pool:
             waiting = {e: pool.submit(self._run, e) for e in landed}
-        return {e: added.result() for e, added in waiting.items()}
+        counts = {}
+        for endpoint, added in waiting.items():
+            error = added.exception()
+            if error is None:
+                counts[endpoint] = added.result()
+            elif failed is None:
+                raise error
+            else:
+                failed[endpoint] = error
+        return counts
 
     def landed(self, endpoint: str) -> bool:
         """Whether an endpoint has landed files."""

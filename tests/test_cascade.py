@@ -58,6 +58,28 @@ def test_nothing_new_writes_nothing_and_a_part_can_be_refreshed(spark, tmp_path)
     assert again.tables["silver_drivers"].count() == 1 and again.tables["bronze_drivers"].count() == 1
 
 
+def test_a_failed_stream_does_not_stop_the_others(spark, tmp_path, monkeypatch):
+    from lapwright.plans.cascade import PartlyFailed
+    from lapwright.streaming.bronze import Bronze
+
+    home, run = str(tmp_path), Bronze._run
+    for endpoint in ("drivers", "laps"):
+        landing.land(spark.createDataFrame([(1, 44)], "session_key int, driver_number int"), f"{home}/landing", endpoint)
+
+    def broken(self, endpoint):
+        if endpoint == "laps":
+            raise ValueError("no such store")
+        return run(self, endpoint)
+
+    monkeypatch.setattr(Bronze, "_run", broken)
+    with pytest.raises(PartlyFailed, match="laps: no such store") as told:
+        update(spark, f"{home}/landing", f"{home}/lake")
+    assert told.value.done.tables["silver_drivers"].count() == 1
+    monkeypatch.undo()
+    done = update(spark, f"{home}/landing", f"{home}/lake")
+    assert "silver_laps" in done.written and done.tables["bronze_laps"].count() == 1
+
+
 def test_broken_lines_are_counted_and_kept_out(spark, tmp_path):
     home = str(tmp_path)
     landing.land(spark.createDataFrame([(1, 44)], "session_key int, driver_number int"), f"{home}/landing", "position")
