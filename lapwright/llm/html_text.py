@@ -104,8 +104,21 @@ def read_page(page: str) -> tuple[str | None, list[tuple[str, bool]]]:
     return (" ".join(main) if found else None), outside
 
 
-def read_pages(pages: DataFrame) -> DataFrame:
-    """page_id, url, host, main, tokens and open (whether a token may be text) of rows of page_id, url and html."""
+def main_texts(pages: DataFrame) -> DataFrame:
+    """page_id, url and text of the pages that have an article."""
+    kind = dict(pages.dtypes)["page_id"]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chain.from_iterable(map(slices, batches)):
+            texts = pa.array([read_page(h or "")[0] for h in batch.column("html").to_pylist()], pa.string())
+            rows = pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), texts], ["page_id", "url", "text"])
+            yield rows.filter(texts.is_valid())
+
+    return pages.select("page_id", "url", "html").mapInArrow(task, f"page_id {kind}, url string, text string")
+
+
+def outside_tokens(pages: DataFrame) -> DataFrame:
+    """row, page_id, url, host, has_main, tokens and open: what stands outside articles, and whether it may be text."""
     kind = dict(pages.dtypes)["page_id"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,15 +127,15 @@ def read_pages(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("page_id"), batch.column("url"),
-                    pa.array([m for m, _ in found], pa.string()),
+                    pa.array([m is not None for m, _ in found], pa.bool_()),
                     pa.array([[t for t, _ in o] for _, o in found], pa.list_(pa.string())),
                     pa.array([[f for _, f in o] for _, o in found], pa.list_(pa.bool_())),
                 ],
-                ["page_id", "url", "main", "tokens", "open"],
+                ["page_id", "url", "has_main", "tokens", "open"],
             )
 
     read = pages.select("page_id", "url", "html").mapInArrow(
-        task, f"page_id {kind}, url string, main string, tokens array<string>, open array<boolean>"
+        task, f"page_id {kind}, url string, has_main boolean, tokens array<string>, open array<boolean>"
     )
     host = F.regexp_extract(F.lower(F.coalesce("url", F.lit(""))), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
     return read.withColumn("host", host).withColumn("row", F.monotonically_increasing_id())
@@ -132,12 +145,12 @@ def boilerplate(read: DataFrame, repeated: int = REPEATED) -> DataFrame:
     """row and places (numbers of tokens) that lie in a stretch of `repeated` tokens found on two pages of the host or more."""
     tokens = read.select("row", "host", F.posexplode("tokens").alias("i", "token"))
     tokens = tokens.select("row", "i", F.xxhash64("host", "token").alias("a"))
-    ranks = suffix_ranks(tokens, repeated, ["row"], ["a"])
-    level = (repeated).bit_length() - 1
+    ranks = suffix_ranks(tokens, repeated, ["row"], ["a"], every_level=False)
+    level = repeated.bit_length() - 1
     # A stretch is named by the ranks of its first and its last 2^level tokens.
-    tail = F.lead(f"r{level}", repeated - (1 << level)).over(Window.partitionBy("row").orderBy("i"))
+    tail = F.lead("rank", repeated - (1 << level)).over(Window.partitionBy("row").orderBy("i"))
     whole = F.lead("i", repeated - 1).over(Window.partitionBy("row").orderBy("i")).isNotNull()
-    named = ranks.select("row", "i", F.col(f"r{level}").alias("head"), tail.alias("tail"), whole.alias("whole")).filter("whole")
+    named = ranks.select("row", "i", F.col("rank").alias("head"), tail.alias("tail"), whole.alias("whole")).filter("whole")
     shared = named.groupBy("head", "tail").agg(F.min("row").alias("low"), F.max("row").alias("high")).filter("low <> high")
     starts = named.join(shared.select("head", "tail"), ["head", "tail"])
     places = starts.select("row", F.explode(F.sequence("i", F.col("i") + repeated - 1)).alias("p"))
@@ -154,16 +167,16 @@ def extract(
     Columns that are not named are not read. An empty table gives an empty result.
     """
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    read = stored(read_pages(rows))
-    voted = stored(boilerplate(read.select("row", "host", "tokens"), repeated))
-    sure = read.filter("main is not null").select("page_id", "url", F.col("main").alias("text"))
-    unsure = read.filter("main is null").join(voted, "row", "left")
+    # Articles are not stored: pages are read once for the vote and once for their text.
+    outside = stored(outside_tokens(rows))
+    voted = stored(boilerplate(outside.select("row", "host", "tokens"), repeated))
+    unsure = outside.filter("not has_main").join(voted, "row", "left")
     kept = F.filter(
         F.arrays_zip("tokens", "open", F.sequence(F.lit(0), F.size("tokens")).alias("p")),
         lambda x: x["open"] & ~F.coalesce(F.array_contains("places", x["p"]), F.lit(False)),
     )
     rest = unsure.select("page_id", "url", F.array_join(kept["tokens"], " ").alias("text"))
-    return sure.unionByName(rest)
+    return main_texts(rows).unionByName(rest)
 
 
 def texts(spark: SparkSession, folder: str) -> DataFrame:

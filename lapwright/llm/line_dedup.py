@@ -68,15 +68,17 @@ def _refined(rows: DataFrame, by: str, section: Column) -> DataFrame:
     return rows.join(ranked, ["rank", by]).drop("rank", by).withColumnRenamed("next", "rank")
 
 
-def suffix_ranks(rows: DataFrame, depth: int, keys: list[str], hashes: list[str]) -> DataFrame:
+def suffix_ranks(
+    rows: DataFrame, depth: int, keys: list[str], hashes: list[str], every_level: bool = True
+) -> DataFrame:
     """Add r0, r1, ..: ranks of the suffixes of sequences by their first 1, 2, 4, .. elements, up to `depth` elements.
 
-    Rows are elements: `keys` name their sequence, i is their number in it, and `hashes` (64-bit) say which are equal.
+    Without `every_level` only the last is added, as `rank`. Rows are elements: `keys` name their sequence, i is their number in it, and `hashes` (64-bit) say which are equal.
     """
     now = rows.withColumn("rank", F.lit(1).cast("long"))
     for h in hashes:
         now = _refined(now, h, F.shiftright(h, 52))
-    now = stored(now.withColumn("r0", F.col("rank")))
+    now = stored(now.withColumn("r0", F.col("rank")) if every_level else now)
     width = max(1, -(-(now.count() + 1) // SECTIONS))
     in_order = Window.partitionBy(*keys).orderBy("i")
     level, length = 0, 1
@@ -84,10 +86,11 @@ def suffix_ranks(rows: DataFrame, depth: int, keys: list[str], hashes: list[str]
         # Past the end of a sequence stands 0, which sorts before every rank.
         ahead = now.withColumn("ahead", F.coalesce(F.lead("rank", length).over(in_order), F.lit(0).cast("long")))
         level, length = level + 1, 2 * length
-        next_ = stored(_refined(ahead, "ahead", F.expr(f"ahead div {width}")).withColumn(f"r{level}", F.col("rank")))
+        finer = _refined(ahead, "ahead", F.expr(f"ahead div {width}"))
+        next_ = stored(finer.withColumn(f"r{level}", F.col("rank")) if every_level else finer)
         discard(now)
         now = next_
-    return now.drop("rank")
+    return now.drop("rank") if every_level else now
 
 
 def _starts(rows: DataFrame, min_words: int) -> DataFrame:
