@@ -15,6 +15,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 from urllib.parse import quote, unquote
 
 import numpy as np
@@ -24,7 +25,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch, table
+from .common import scratch, slices, table
 
 DATE = "2000-01-01T00:00:00Z"  # capture time of all records; the table has none
 SHARD_BYTES = 64 << 20  # payload bytes of one shard, about
@@ -39,17 +40,15 @@ def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def with_originals(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """Columns page_id, url, html and first_id: the smallest id with an equal payload, null where it is the row's own.
+def originals(rows: DataFrame, least_bytes: int = 0) -> DataFrame:
+    """page_id, digest and first_id of the payloads that have an equal one with a smaller id: `first_id`, the smallest.
 
-    Payloads shorter than `least_bytes` never refer to another. Equality is that of length and SHA-256.
+    Rows have page_id, digest (SHA-256 of the payload) and size. Payloads below `least_bytes` never refer to another.
     """
-    rows = pages.withColumn("digest", F.sha2(F.col("html").cast("binary"), 256)).withColumn("size", F.octet_length("html"))
-    first = rows.filter(F.col("size") >= least_bytes).groupBy(F.col("digest").alias("d"), F.col("size").alias("s")).agg(
-        F.min("page_id").alias("first_id"), F.count("*").alias("copies")
-    ).filter("copies > 1").drop("copies")
-    met = rows.join(first, (F.col("digest") == F.col("d")) & (F.col("size") == F.col("s")), "left")
-    return met.select("page_id", "url", "html", F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id")).alias("first_id"))
+    slim = rows.filter(F.col("size") >= least_bytes).select("page_id", "digest")
+    first = slim.groupBy(F.col("digest").alias("d")).agg(F.min("page_id").alias("first_id"), F.count("*").alias("n"))
+    met = slim.join(first.filter("n > 1"), F.col("digest") == F.col("d"))
+    return met.filter("not (page_id <=> first_id) and first_id is not null").select("page_id", "digest", "first_id").distinct()
 
 
 def shard_starts(sizes: DataFrame, shard_bytes: int) -> list[int]:
@@ -161,6 +160,7 @@ def write(
         F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
         F.coalesce(F.col(html_col), F.lit("")).alias("html"),
     )
+    rows = rows.withColumn("digest", F.sha2(F.col("html").cast("binary"), 256))
     starts = shard_starts(rows.select("page_id", F.octet_length("html").alias("size")), shard_bytes)
     last = len(starts) + 1  # shard of null ids
 
@@ -170,23 +170,32 @@ def write(
     def shard(ids: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(edges, ids.to_numpy(), side="right"))
 
+    # What a payload repeats travels as a row of its own and is sorted to the front of its page, so that pages are
+    # shuffled once, to their shards.
+    refers = originals(rows.withColumn("size", F.octet_length("html")), least_bytes)
+    both = rows.select("page_id", "url", "html", "digest", F.lit(None).cast("long").alias("first_id")).unionByName(
+        refers.select("page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "digest", "first_id")
+    )
     dealt = (
-        with_originals(rows, least_bytes)
-        .withColumn("shard", F.when(F.col("page_id").isNull(), F.lit(last)).otherwise(shard(F.coalesce("page_id", F.lit(0)))))
+        both.withColumn("shard", F.when(F.col("page_id").isNull(), F.lit(last)).otherwise(shard(F.coalesce("page_id", F.lit(0)))))
         .repartition(last + 1, "shard")
-        .sortWithinPartitions("shard", "page_id", "url", F.xxhash64("html"))
+        .sortWithinPartitions("shard", "page_id", "digest", F.col("first_id").asc_nulls_last(), "url")
     )
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, done = None, []
-        for batch in batches:
-            for page_id, url, html, first, number in zip(*(c.to_pylist() for c in batch.columns)):
+        files, done, known = None, [], None
+        for batch in chain.from_iterable(map(slices, batches)):
+            for page_id, url, html, digest, first, number in zip(*(c.to_pylist() for c in batch.columns)):
+                if html is None:
+                    known = page_id, digest, first
+                    continue
                 if files is None or files.shard != number:
                     if files:
                         files.close()
                         done += files.done
                     files = _Files(root, number, roll_bytes)
-                files.add(record(page_id, url, html.encode("utf-8"), first))
+                original = known[2] if known and known[:2] == (page_id, digest) else None
+                files.add(record(page_id, url, html.encode("utf-8"), original))
         if files:
             files.close()
             done += files.done
