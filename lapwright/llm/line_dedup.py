@@ -174,7 +174,8 @@ def deduplicate(
     same = F.col(f"`{mine[0]}`").eqNullSafe(F.col(f"`{other[0]}`"))
     for m, o in zip(mine[1:], other[1:]):
         same = same & (F.col(f"`{m}`") == F.col(f"`{o}`"))
-    met = keyed.join(runs.toDF(*other, "removed"), same, "left").drop(*mine, *other)
+    # Both sides are shuffled at any size: broadcasting would hold only while few documents have copied lines.
+    met = keyed.join(runs.toDF(*other, "removed").hint("merge"), same, "left").drop(*mine, *other)
     kept = F.filter(
         F.split(F.col(f"`{text_col}`"), "\n", -1),
         lambda x, p: ~F.exists(F.col("removed"), lambda r: p.between(r["first"], r["last"])),
