@@ -57,7 +57,10 @@ def labelled_strings(docs: DataFrame, text_col: str = "text", sample: int = SAMP
             F.regexp_extract_all(text, F.lit(HEX), F.lit(0)),
         )).alias("value")
     ).filter(F.length("value") >= ASSIGNED)
-    some = docs.filter(text.isNotNull()).select(text.alias("text"), F.xxhash64(text).alias("h")).orderBy("h").limit(sample // 10)
+    hashed = docs.filter(text.isNotNull()).select(text.alias("text"), F.xxhash64(text).alias("h"))
+    # Chosen by hash alone: whole texts would meet in one task.
+    chosen = hashed.select("h").distinct().orderBy("h").limit(sample // 10)
+    some = hashed.join(chosen, "h", "left_semi").dropDuplicates(["h"])
     plain = some.filter(~(F.col("text").rlike(ASSIGN) | F.col("text").rlike(ACCESS) | F.col("text").rlike(HEX)))
     word = plain.select(F.explode(F.regexp_extract_all(F.col("text"), F.lit(r"[A-Za-z_-]{8,}"), F.lit(0))).alias("value"))
 
