@@ -29,6 +29,7 @@ MARKUP = re.compile(
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "title", "svg", "math", "object"}
+ENDS = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 CHROME = {"nav", "header", "footer", "aside", "form", "dialog", "menu", "button", "select", "head"}
 MAIN = {"article", "main"}
 INLINE = set(
@@ -47,13 +48,19 @@ MARKS = set(
 )
 
 
+def raw_end(page: str, name: str, at: int) -> int:
+    """Where markup goes on after a start tag of RAW that ends at `at`: at the element's own end tag, or nowhere."""
+    end = ENDS[name].search(page, at)
+    return end.start() if end else len(page)
+
+
 def read_page(page: str) -> tuple[str | None, list[tuple[str, bool]]]:
     """The text inside articles (None if the page has no article), and the tokens outside with whether they may be text."""
     main: list[str] = []
     outside: list[tuple[str, bool]] = []
     open_: list[tuple[str, bool, bool]] = []  # name, starts chrome, starts an article
     chrome = article = 0
-    found, block, at, skip = False, [], 0, None
+    found, block, at = False, [], 0
 
     def end_block() -> None:
         tokens = "".join(block).split()
@@ -65,15 +72,11 @@ def read_page(page: str) -> tuple[str | None, list[tuple[str, bool]]]:
         else:
             outside.extend((t, not chrome) for t in tokens)
 
-    for tag in MARKUP.finditer(page):
-        if skip is None and tag.start() > at:
+    while tag := MARKUP.search(page, at):
+        if tag.start() > at:
             block.append(entities.unescape(page[at : tag.start()]))
         at = tag.end()
         name = (tag[2] or "").lower()
-        if skip is not None:
-            if tag[1] and name == skip:
-                skip = None
-            continue
         if not name or name in INLINE:
             continue
         if name == "br":
@@ -82,7 +85,7 @@ def read_page(page: str) -> tuple[str | None, list[tuple[str, bool]]]:
         end_block()
         if name in RAW:
             if not tag[1] and not tag[3].rstrip().endswith("/"):
-                skip = name
+                at = raw_end(page, name, at)
         elif name in VOID or name in LOOSE:
             continue
         elif not tag[1]:
@@ -98,8 +101,7 @@ def read_page(page: str) -> tuple[str | None, list[tuple[str, bool]]]:
                 chrome, article = chrome - was_chrome, article - was_main
                 if last == name:
                     break
-    if skip is None:
-        block.append(entities.unescape(page[at:]))
+    block.append(entities.unescape(page[at:]))
     end_block()
     return (" ".join(main) if found else None), outside
 

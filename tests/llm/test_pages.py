@@ -73,6 +73,16 @@ def test_regions_of_a_page():
     assert read("<article>cut off <b>in the") == "cut off in the"
 
 
+def test_markup_inside_scripts_is_no_markup():
+    read = lambda h: html_text.read_page(h)[0]
+    for code in ("for(i=0;i<n;i++){s+=i}", "a='<b'; b=\"<i\";", "x='<!--'", "if(a<b){c='</p>'}"):
+        for end in ("</script>", "</SCRIPT >"):
+            assert read(f"<head><script>{code}{end}</head><article>kept {code[:1]}</article>") == f"kept {code[:1]}", code
+    assert read("<article>kept <style>p::after{content:'<a'}</style>too</article>") == "kept too"
+    assert read("<article>kept</article><script>i<n") == "kept"
+    assert read("<article>kept <svg><title>no</title></svg>too</article>") == "kept too"
+
+
 def test_repeats_on_a_host_are_no_text(spark):
     menu = "<div>Home News Sport Weather Contact us today</div>"
     rows = [
