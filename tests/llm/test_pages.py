@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import html
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -98,6 +99,30 @@ def test_repeats_on_a_host_are_no_text(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+def _texts(spark, rows):
+    pages = spark.createDataFrame([(*r, "a", "b") for r in rows], PAGES)
+    return {r.page_id: r.text for r in html_text.extract(pages).collect()}
+
+
+def _words(r, n=30):
+    return " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
+
+
+def test_copies_and_phrases_of_few_pages_stay(spark):
+    r = random.Random(1)
+    menu, phrase = "Home News Sport Weather Contact us today", "as far as we know from the records"
+    copied = _words(r)
+    rows = [(k, f"http://c/{k}", f"<div>{copied}</div>") for k in range(5)] + [(k, f"http://c/{k}", f"<div>{_words(r)}</div>") for k in (5, 6)]
+    large = {k: f"{_words(r)} {phrase if k % 10 == 0 else 'x'} {_words(r)}" for k in range(100, 400)}
+    rows += [(k, f"http://large/{k}", f"<div>{menu}</div><div>{t}</div>") for k, t in large.items()]
+    two = {k: f"{menu} {_words(r)}" for k in (500, 501)}
+    rows += [(k, f"http://two/{k}", f"<div>{t}</div>") for k, t in two.items()]
+    got = _texts(spark, rows)
+    assert [got[k] for k in range(5)] == [copied] * 5
+    assert {k: got[k] for k in large} == large
+    assert {k: got[k] for k in two} == two
+
+
 def test_given_pages(spark):
     folder = "/root/testdata/sf0.001"
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
