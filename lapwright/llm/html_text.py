@@ -1,10 +1,11 @@
 """Operator 8: main text of web pages.
 
 A page is read as blocks of tokens. Blocks of menus, headers, footers, sidebars, notices, adverts, forms and comments
-are never text. If there are article or main elements, they are the text. Other pages are judged by their host:
+are never text. All others are judged by the other pages of their host, those inside an article or main element too:
 the runs of such blocks, with an element for every block end, are sequences whose suffixes are sorted by prefix doubling
 (see `line_dedup.suffix_ranks`), and a stretch of `REPEATED` elements is boilerplate if a share of the host's pages has it.
-Pages with the same text count once, so copies of a page do not vanish.
+Pages with the same text count once, so copies of a page do not vanish. What an article or main element encloses is
+boilerplate only if a larger share of the host's articles has it inside.
 
 Before sorting, elements are left out that lie in no stretch with enough pages: every stretch falls into one of `BUCKETS`
 buckets of its host, and the number of pages in a bucket is at least that of each of its stretches.
@@ -271,7 +272,7 @@ def boilerplate(ranks: DataFrame, hot: DataFrame, repeated: int) -> DataFrame:
     passed = votes.join(hot.select("host", "outside", F.col("inside").alias("within")), "host").select(
         *stretch, (F.col("pages") >= F.col("outside")).alias("anywhere"), (F.col("articles") >= F.col("within")).alias("articles")
     )
-    gone = named.join(passed.filter("anywhere or articles"), stretch).filter("anywhere and not inside")
+    gone = named.join(passed.filter("anywhere or articles"), stretch).filter("if(inside, articles, anywhere)")
     return gone.groupBy(*PAGE).agg(F.collect_set("i").alias("starts"))
 
 
@@ -284,12 +285,8 @@ def left_text(page: str | None, starts: list[int] | None, repeated: int) -> str:
     gone = {k for i in starts or () for k in range(i, i + repeated)}
     left: list[str] = []
     at = 0  # number of the element
-    found, blocks = read_blocks(page or "")
-    for zone, elements in runs(blocks):
-        if found and zone != ARTICLE_ZONE:
-            at += len(elements)
-            continue
-        if not gone or found:
+    for _, elements in runs(read_blocks(page or "")[1]):
+        if not gone:
             left.extend(e for e in elements if e is not None)
             continue
         ends = [i for i, e in enumerate(elements) if e is None]

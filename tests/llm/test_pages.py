@@ -5,6 +5,7 @@ import hashlib
 import html
 import random
 import re
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -123,6 +124,65 @@ def test_copies_and_phrases_of_few_pages_stay(spark):
     assert {k: got[k] for k in two} == two
 
 
+def test_articles_and_what_surrounds_them_are_judged_alike(spark):
+    r = random.Random(2)
+    ask, menu = "<p>Subscribe to our newsletter</p>", "<div>Home News Sport Weather Contact us today</div>"
+    body, note = {k: _words(r) for k in range(6)}, {k: _words(r, 5) for k in range(6)}
+    rows = [
+        (k, f"http://h/{k}", f"{menu}<div>{note[k]}</div><article><p>{body[k]}</p>{ask}<p>end {k}</p></article>") for k in range(6)
+    ]
+    rows += [(k, f"http://h/{k}", rows[0][2]) for k in (10, 11, 12)]
+    got = _texts(spark, rows)
+    assert got == {k: f"{note[0 if k > 9 else k]} {body[0 if k > 9 else k]} end {0 if k > 9 else k}" for k in got}
+    assert len(got) == 9
+
+
+def test_vote_against_brute_force(spark):
+    r = random.Random(3)
+    lines = ["a b c", "d e f g h i j", "k l m n o p", "a b c d e f g h"]
+    rows = []
+    for k in range(60):
+        parts = [f"<div>{r.choice(lines)}</div>" if r.random() < 0.6 else f"<p>{_words(r, 3)} {r.choice(lines)}</p>" for _ in range(4)]
+        cut = r.randrange(5)
+        if r.random() < 0.5:
+            parts.insert(cut, "<article>" + r.choice(lines) + f"<p>{r.choice(lines)}</article>")
+        rows.append((k, f"http://{r.choice('xyyyz')}/{k}", "".join(parts)))
+    rows += [(100 + k, url, page) for k, url, page in rows[:20]]
+    n = html_text.REPEATED
+    hosts = {}
+    for k, url, page in rows:
+        hosts.setdefault(url.split("/")[2], {})[k] = [(z, tuple(e)) for z, e in html_text.runs(html_text.read_blocks(page)[1])]
+    expected = {}
+    for pages in hosts.values():
+        kinds = {tuple(p) for p in pages.values()}
+        written = [p for p in kinds if any(z == html_text.ARTICLE_ZONE for z, _ in p)]
+
+        def grams(page, zones):
+            return {e[i : i + n] for z, e in page if z in zones for i in range(len(e) - n + 1)}
+
+        within = {html_text.ARTICLE_ZONE}
+        every = Counter(g for p in kinds for g in grams(p, {html_text.OPEN_ZONE, *within}))
+        inner = Counter(g for p in kinds for g in grams(p, within))
+        for k, page in pages.items():
+            left = []
+            for z, e in page:
+                seen, many = (inner, max(3, len(written) / 2)) if z in within else (every, max(3, len(kinds) / 4))
+                gone = {j for i in range(len(e) - n + 1) if seen[e[i : i + n]] >= many for j in range(i, i + n)}
+                for at in (j for j, t in enumerate(e) if t is not None):
+                    low = high = at
+                    while at in gone and low - 1 in gone and e[low - 1] is not None:
+                        low -= 1
+                    while at in gone and high + 1 in gone and e[high + 1] is not None:
+                        high += 1
+                    # A fragment of a block goes if it is long enough.
+                    if at not in gone or high - low + 1 < n and (e[low - 1] is not None or e[high + 1] is not None):
+                        left.append(e[at])
+            expected[k] = " ".join(left)
+    got = _texts(spark, rows)
+    assert got == expected
+    assert any(len(got[k].split()) < sum(t is not None for _, e in hosts[u.split("/")[2]][k] for t in e) for k, u, _ in rows)
+
+
 def test_given_pages(spark):
     folder = "/root/testdata/sf0.001"
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
