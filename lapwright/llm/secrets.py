@@ -22,7 +22,8 @@ ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 ASSIGNED = 12
 
-RUN = r"[A-Za-z0-9+/_-]{16,}"  # what may be a random string
+RUN = r"[A-Za-z0-9+/_-]{16,}"  # what may be a random string,
+PART = r"[A-Za-z0-9+]{16,}"  # and what may be one that is joined to other words
 KINDS = ("assign", "access", "hex", "random")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 SAMPLE = 20_000  # strings of either class that the models are trained on, at most
@@ -42,8 +43,9 @@ def _at(s: Column, i: Column) -> Column:
 def labelled_strings(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
     """value and label: 1 for random strings (digests in base 64 and 16, and what the base rules find), 0 for words.
 
-    Words are the runs of 8 and more letters of documents without a base finding. Each class has `sample` strings at
-    most, those with the smallest hash, so the choice does not depend on how the rows are dealt out.
+    Words are the runs of 8 and more letters of documents without a base finding, of a tenth of `sample` such documents at
+    most. Each class has `sample` strings at most, cut to 256 characters. The smallest hashes are taken, so the choice
+    does not depend on how the rows are dealt out.
     """
     spark = docs.sparkSession
     text = F.col(text_col)
@@ -57,11 +59,11 @@ def labelled_strings(docs: DataFrame, text_col: str = "text", sample: int = SAMP
             F.regexp_extract_all(text, F.lit(HEX), F.lit(0)),
         )).alias("value")
     ).filter(F.length("value") >= ASSIGNED)
-    hashed = docs.filter(text.isNotNull()).select(text.alias("text"), F.xxhash64(text).alias("h"))
+    without = docs.filter(text.isNotNull() & ~(text.rlike(ASSIGN) | text.rlike(ACCESS) | text.rlike(HEX)))
+    hashed = without.select(text.alias("text"), F.xxhash64(text).alias("h"))
     # Chosen by hash alone: whole texts would meet in one task.
     chosen = hashed.select("h").distinct().orderBy("h").limit(sample // 10)
-    some = hashed.join(chosen, "h", "left_semi").dropDuplicates(["h"])
-    plain = some.filter(~(F.col("text").rlike(ASSIGN) | F.col("text").rlike(ACCESS) | F.col("text").rlike(HEX)))
+    plain = hashed.join(chosen, "h", "left_semi").dropDuplicates(["h"])
     word = plain.select(F.explode(F.regexp_extract_all(F.col("text"), F.lit(r"[A-Za-z_-]{8,}"), F.lit(0))).alias("value"))
 
     def bounded(rows: DataFrame, label: int) -> DataFrame:
@@ -117,37 +119,59 @@ def _matches(text: Column, kind: int, pattern: str, group: int = 0) -> Column:
     return F.when(text.rlike(pattern), rows.cast(kind_of)).otherwise(F.array().cast(kind_of))
 
 
+def _outside(x: Column, spans: Column) -> Column:
+    """The parts of a span that lie in none of the sorted `spans`."""
+    kind_of = "array<struct<start:int,kind:int,end:int,ratio:double>>"
+
+    def part(start: Column, end: Column) -> Column:
+        one = F.array(F.struct(start.alias("start"), F.lit(3).alias("kind"), end.alias("end"), x["ratio"].alias("ratio")))
+        return F.when(start < end, one).otherwise(F.array()).cast(kind_of)
+
+    def cut(done: Column, b: Column) -> Column:
+        return F.struct(
+            F.greatest(done["at"], b["end"]).alias("at"),
+            F.concat(done["parts"], part(done["at"], F.least(b["start"], x["end"]))).alias("parts"),
+        )
+
+    none = F.struct(x["start"].alias("at"), F.array().cast(kind_of).alias("parts"))
+    met = F.filter(spans, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
+    return F.aggregate(met, none, cut, lambda done: F.concat(done["parts"], part(done["at"], x["end"])))
+
+
 def find(docs: DataFrame, ratios: list[float], id_col: str = "doc_id", text_col: str = "text", ratio: float = RATIO) -> DataFrame:
     """Per row: doc_id, h1, h2 and `found`, an array of (start, kind, end, ratio) by start and kind.
 
-    Places count code points, the end is exclusive, kinds are numbers into KINDS. Spans of the models never overlap base
-    spans. A null text is empty. Rows equal in id and text get equal results; columns that are not named are not read.
+    Places count code points, the end is exclusive, kinds are numbers into KINDS. A run is scored whole, and if that is
+    too low, by its parts between slashes, underscores and hyphens. Spans of the models never overlap base spans: what
+    lies outside them is reported. A null text is empty. Rows equal in id and text get equal results; columns that are not named are not read.
     An empty table gives an empty result.
     """
     keys = ["doc_id", "h1", "h2"]
     text = F.coalesce(F.col(text_col), F.lit(""))
     every = F.concat(
-        _matches(text, 0, ASSIGN, 2), _matches(text, 1, ACCESS), _matches(text, 2, HEX), _matches(text, 3, RUN)
+        _matches(text, 0, ASSIGN, 2), _matches(text, 1, ACCESS), _matches(text, 2, HEX), _matches(text, 3, RUN),
+        _matches(text, 4, PART),
     )
     rows = docs.select(*identity(id_col, text_col), every.alias("m")).filter(F.size("m") > 0).dropDuplicates(keys)
     rows = rows.select(*keys, F.inline("m"))
     end = F.sum(F.col("before") + F.col("size")).over(Window.partitionBy(*keys, "kind").orderBy("i"))
     placed = rows.withColumn("end", end.cast("int")).withColumn("start", (F.col("end") - F.col("size")).cast("int"))
-    judged = placed.withColumn("ratio", F.when(F.col("kind") == 3, mean_ratio(F.col("value"), ratios)))
+    judged = placed.withColumn("ratio", F.when(F.col("kind") >= 3, mean_ratio(F.col("value"), ratios)))
     varied = F.size(F.array_distinct(F.split("value", ""))) >= VARIETY
     held = (
         ((F.col("kind") == 0) & (F.length("value") >= ASSIGNED))
         | F.col("kind").isin(1, 2)
-        | ((F.col("kind") == 3) & (F.col("ratio") >= ratio) & varied)
+        | ((F.col("kind") >= 3) & (F.col("ratio") >= ratio) & varied)
     )
     grouped = judged.filter(held).groupBy(*keys).agg(F.collect_list(F.struct("start", "kind", "end", "ratio")).alias("all"))
-    base = F.filter("all", lambda x: x["kind"] < 3)
-    more = F.filter(
-        "all",
-        lambda x: (x["kind"] == 3)
-        & ~F.exists(F.col("base"), lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])),
+    overlaps = lambda x: lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])
+    split = grouped.select(
+        *keys, F.array_sort(F.filter("all", lambda x: x["kind"] < 3)).alias("base"),
+        F.filter("all", lambda x: x["kind"] == 3).alias("whole"), F.filter("all", lambda x: x["kind"] == 4).alias("parts"),
     )
-    done = grouped.withColumn("base", base).withColumn("found", F.array_sort(F.concat("base", more))).select(*keys, "found")
+    more = F.concat("whole", F.filter("parts", lambda x: ~F.exists("whole", overlaps(x))))
+    left = F.flatten(F.transform(more, lambda x: _outside(x, F.col("base"))))
+    done = split.select(*keys, F.array_sort(F.concat("base", left)).alias("found"))
     return on_identity(docs.select(*identity(id_col, text_col)), done).select(
         *keys, F.coalesce("found", F.array().cast("array<struct<start:int,kind:int,end:int,ratio:double>>")).alias("found")
     )

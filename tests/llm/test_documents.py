@@ -100,6 +100,28 @@ def base_spans(text):
     return sorted(found)
 
 
+def test_joined_and_mixed_keys_are_found(spark):
+    ratios = secrets.transition_ratios(secrets.labelled_strings(spark.read.parquet(f"{SMALL}/documents.parquet")))
+    key, words = "kX9vQ2mZr7LpT4bWc8Ns1Hd6", "internationalization_configuration_manager"
+    mixed = "kX9vQ2mZr7LpT4bWc8Ns1Hd6Zdeadbeef01234567Q2mZr7LpT4bWkX9v"
+    texts = {
+        1: f"see {words}/{words}/{key} here", 2: f"see {key}-{words}_{words} here", 3: f"see {mixed} here", 4: f"see {words}/{words}",
+        5: f"see {key[:12]}/{key[12:]} here",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: [(texts[r.doc_id][f["start"] : f["end"]], f["kind"]) for f in r.found] for r in secrets.find(docs, ratios).collect()}
+    assert got[1] == [(key, 3)] and got[2] == [(key, 3)] and got[4] == []
+    assert got[3] == [(mixed[:25], 3), (mixed[25:41], 2), (mixed[41:], 3)]
+    assert got[5] == [(f"{key[:12]}/{key[12:]}", 3)]
+
+
+def test_words_come_from_enough_texts_without_findings(spark):
+    rows = [(k, f"password=hunter2hunter2 number {k}") for k in range(200)]
+    rows += [(k, "ordinary" + "".join(chr(97 + int(c)) for c in str(k))) for k in range(1000, 1010)]
+    words = secrets.labelled_strings(spark.createDataFrame(rows, "doc_id long, text string"), sample=100).filter("label = 0")
+    assert words.count() == 10
+
+
 def test_base_spans_and_random_strings(spark):
     draw = random.Random(9)
     parts = ["password=", "Token : '", "API_KEY=\"", "api-key=", "AKIA", "AKIAAKIA", "secret", "😀", " ", "\n", "é", "0123456789abcdef",
