@@ -156,3 +156,69 @@ select doc_id, cast(coalesce(n_removed, 0) as bigint) as n_removed, coalesce(rem
        end as text
 from docs left join cut using (r)
 """
+
+
+def _whole(condition: str = "true") -> str:
+    """Kept rows of embeddings with their components as whole numbers."""
+    odd = "coalesce(list_bool_or([x is null or not isfinite(x) for x in embedding]), false)"
+    return f"""select *, [cast(floor(256 * cast(x as double)) as bigint) for x in embedding] as q
+  from embeddings where embedding is not null and not {odd} and {condition}"""
+
+
+HARD_NEGATIVES = f"""
+with e as (
+  select vec_id, case when vec_id % 7 = 0 then (cast(label as bigint) + 1) % 10 else label end as label, q
+  from ({_whole("label is not null")})
+), s as (
+  select a.vec_id as anchor, a.label = e.label as same, e.vec_id as id,
+         cast(list_inner_product(cast(a.q as double[]), cast(e.q as double[])) as bigint) as score
+  from e a join e on a.vec_id % 100 = 0 and a.vec_id <> e.vec_id
+), p as (
+  select * from s where same qualify row_number() over (partition by anchor order by score desc, id) <= 5
+), n as (
+  select p.anchor as anchor_id, p.id as positive_id, s.id as negative_id, p.score as positive_score,
+         s.score as negative_score,
+         row_number() over (partition by p.anchor, p.id order by s.score desc, s.id) as nth
+  from p join s on s.anchor = p.anchor and not s.same and 30 * p.score <= 100 * s.score and 100 * s.score <= 90 * p.score
+)
+select anchor_id, positive_id, cast(nth as integer) as rank, negative_id, positive_score, negative_score
+from n where nth <= 10
+"""
+
+
+def vector_codes(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    def assigned(k: int) -> str:
+        return f"""a{k} as (
+  select r, part, x, entry, d from (
+    select p.r, p.part, p.x, b.entry, list_sum([(p.x[i] - b.x[i]) * (p.x[i] - b.x[i]) for i in range(1, len(p.x) + 1)]) as d
+    from cut p join b{k} b using (part))
+  qualify row_number() over (partition by r, part order by d, entry) = 1
+)"""
+
+    def moved(k: int) -> str:
+        return f"""b{k + 1} as (
+  select part, entry, coalesce(m.x, b.x) as x from b{k} b left join (
+    select part, entry, list(cast(floor(total / n) as bigint) order by i) as x from (
+      select part, entry, i, sum(v) as total, count(*) as n
+      from (select part, entry, unnest(x) as v, unnest(range(1, len(x) + 1)) as i from a{k}) group by part, entry, i)
+    group by part, entry) m using (part, entry)
+)"""
+
+    steps = ", ".join(f"{assigned(k)}, {moved(k)}" for k in range(rounds))
+    return f"""
+with v as (select row_number() over (order by vec_id) as r, vec_id, label, q from ({_whole()})),
+cut as (
+  select r, part, q[part * m + 1 : (part + 1) * m] as x
+  from (select r, q, len(q) // {parts} as m, unnest(range({parts})) as part from v)
+), b0 as (select part, r - 1 as entry, x from cut where r <= {entries}),
+{steps}, {assigned(rounds)},
+done as (
+  select r, string_agg(lpad(lower(to_hex(entry)), 2, '0'), '' order by part) as code, cast(sum(d) as bigint) as error
+  from a{rounds} group by r
+), book as (
+  select sha256(string_agg(array_to_string(x, ','), ',' order by part, entry)) as digest from b{rounds}
+)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+       digest as codebooks_sha256
+from v join done using (r), book
+"""
