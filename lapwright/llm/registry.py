@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontamination, html_text, line_dedup, quality_classifier, quality_rules, secrets, simhash, sql, token_counts, warc
+from . import (
+    bpe, decontamination, hard_negatives, html_text, line_dedup, quality_classifier, quality_rules, secrets, simhash, sql,
+    token_counts, url_filter, vector_codes, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +30,9 @@ def queries() -> dict[str, Query]:
         "op8_html_text": html_text.texts,
         "op9_warc_archive": warc.archive,
         "op10_quality_scores": quality_classifier.scores,
+        "op11_hard_negatives": hard_negatives.negatives,
+        "op12_url_filter": url_filter.verdicts,
+        "op13_vector_codes": vector_codes.codes,
     }
 
 
@@ -35,4 +41,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_line_dedup": sql.LINE_DEDUP,
         "op6_quality_rules": sql.quality_rules(),
         "op7_decontamination": sql.DECONTAMINATION,
+        "op11_hard_negatives": sql.HARD_NEGATIVES,
+        "op13_vector_codes": sql.vector_codes(),
     }
