@@ -1,4 +1,4 @@
-from lapwright.functions.measures import exact_mean, mean_of, rounded, rounded_stddev
+from lapwright.functions.measures import exact_mean, mean_of, mean_of_parts, rounded, spread_of_parts
 from lapwright.functions.wording import fixed_point, rain_label, session_label, track_temperature_band
 from lapwright.functions.scoring import championship_points
 from lapwright.functions.periods import since_days
@@ -8,10 +8,11 @@ __all__ = [
     "exact_mean",
     "fixed_point",
     "mean_of",
+    "mean_of_parts",
     "rain_label",
     "rounded",
-    "rounded_stddev",
     "session_label",
     "since_days",
+    "spread_of_parts",
     "track_temperature_band",
 ]

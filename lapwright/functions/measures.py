@@ -47,13 +47,38 @@ def rounded(c: Column | str, places: int) -> Column:
     return F.coalesce(exact, F.round(_col(c).cast("double"), places))
 
 
-def rounded_stddev(c: Column | str, places: int = 6) -> Column:
-    """Sample standard deviation to the microsecond; NULL for a single value."""
-    return F.round(F.stddev_samp(_col(c)), places)
+def parts_of_mean(c: Column | str) -> dict[str, Column]:
+    """Aggregates that add up over parts of a group and give its mean: see `mean_of_parts`."""
+    c = _col(c)
+    return {
+        "n": F.count(c), "fit": F.count(c.try_cast(DECIMAL)), "total": exact_total(c), "rough_total": F.sum(c.cast("double")),
+    }
+
+
+def mean_of_parts(prefix: str = "") -> Column:
+    """Mean from sums; of doubles only where a value is no decimal of ten places."""
+    n, fit, total, rough = (F.col(f"{prefix}{p}") for p in ("n", "fit", "total", "rough_total"))
+    return F.when(fit == n, mean_of(total, n)).otherwise(rough / F.nullif(n, F.lit(0)))
+
+
+def parts_of_spread(c: Column | str) -> dict[str, Column]:
+    """Those of the mean, and sums of squares for the standard deviation."""
+    x = _col(c).cast("double")
+    return {
+        **parts_of_mean(c), "square_fit": F.count((x * x).try_cast(DECIMAL)), "squares": exact_total(x * x),
+        "rough_squares": F.sum(x * x),
+    }
+
+
+def spread_of_parts() -> Column:
+    """Sample standard deviation from sums; NULL for a single value."""
+    n, fits = F.col("n"), (F.col("fit") == F.col("n")) & (F.col("square_fit") == F.col("n"))
+    total = F.when(fits, F.col("total").cast("double")).otherwise(F.col("rough_total"))
+    return stddev_of(n, total, F.when(fits, F.col("squares").cast("double")).otherwise(F.col("rough_squares")))
 
 
-def stddev_of(count: Column, total: Column, squares: Column, places: int = 6) -> Column:
-    """Sample standard deviation from a count, a sum and a sum of squares."""
+def stddev_of(count: Column, total: Column, squares: Column) -> Column:
+    """Sample standard deviation from a count, a sum and a sum of squares; NULL for a single value."""
     n, s, q = (c.cast("double") for c in (count, total, squares))
     spread = F.greatest((q - s * s / n) / F.nullif(n - 1, F.lit(0.0)), F.lit(0.0))
-    return F.when(count > 1, F.round(F.sqrt(spread), places))
+    return F.when(count > 1, F.sqrt(spread))

@@ -27,6 +27,22 @@ def enforce(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df if kept is None else df.where(kept)
 
 
+def broken_rules(spec: TableSpec) -> Column:
+    """The rules that a row breaks, as a number with one bit per rule, the first rule lowest."""
+    bits = [F.when(~_holds(r), F.lit(1 << i)).otherwise(F.lit(0)) for i, r in enumerate(spec.rules)]
+    return reduce(lambda a, b: a + b, bits) if bits else F.lit(0)
+
+
+def dropping_bits(spec: TableSpec) -> int:
+    """The bits of the rules that drop a row."""
+    return sum(1 << i for i, r in enumerate(spec.rules) if r.drops)
+
+
+def rule_names(broken: Column, spec: TableSpec) -> Column:
+    """Names of the rules in a number of `broken_rules`, in their order, joined by commas."""
+    return F.concat_ws(",", *[F.when(broken.bitwiseAND(1 << i) != 0, F.lit(r.name)) for i, r in enumerate(spec.rules)])
+
+
 def observed(df: DataFrame, spec: TableSpec, name: str | Observation) -> DataFrame:
     """Attach row and violation counts to the job that reads ``df``; rows pass unchanged.
 

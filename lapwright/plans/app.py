@@ -24,7 +24,6 @@ _LISTED = ["session_key", "session_name", "location", "date_start", "session_typ
 
 # The compounds that get a column in the usage matrix.
 COMPOUNDS = ("SOFT", "MEDIUM", "HARD", "INTERMEDIATE", "WET")
-OTHER = "OTHER"
 
 
 def sessions(tables: Tables, year: int | None = None, session_type: str | Sequence[str] | None = None) -> DataFrame:
@@ -355,14 +354,18 @@ def stint_quartiles(by_team: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def usage_matrix(by_team: DataFrame, compounds: Sequence[str] = COMPOUNDS) -> DataFrame:
-    """Stints per team and compound: a column for each listed compound, and OTHER for all the rest."""
-    listed = F.coalesce(F.col("compound").isin(list(compounds)), F.lit(False))
+def usage_matrix(by_team: DataFrame, compounds: Sequence[str] | None = None) -> DataFrame:
+    """Stints per team and compound: a column for each usual compound, then one for each other that was used.
+
+    Unless ``compounds`` lists them, the compounds are looked up first: a few words, whatever the number of stints.
+    """
+    if compounds is None:
+        used = {r[0] for r in by_team.where("team_name is not null and compound is not null").select("compound").distinct().collect()}
+        compounds = [*COMPOUNDS, *sorted(used.difference(COMPOUNDS))]
     return (
         by_team.where("team_name is not null")
-        .withColumn("compound", F.when(listed, F.col("compound")).otherwise(OTHER))
         .groupBy("team_name")
-        .pivot("compound", [*compounds, OTHER])
+        .pivot("compound", list(compounds))
         .agg(F.sum("usage_count"))
         .fillna(0)
         .orderBy("team_name")

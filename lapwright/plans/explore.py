@@ -155,7 +155,7 @@ def lap_distribution(tables: Tables) -> DataFrame:
         stddev_of(F.sum("n"), total, squares).alias("lap_consistency"),
     )
     medians = exact_quantile(times, circuit, "lap_duration", 0.5, "median")
-    medians = medians.select(F.round("median", 6).alias("median_lap"), *[F.col(c).alias(f"m_{c}") for c in circuit])
+    medians = medians.select(F.col("median").alias("median_lap"), *[F.col(c).alias(f"m_{c}") for c in circuit])
     same = [F.col(c).eqNullSafe(F.col(f"m_{c}")) for c in circuit]
     return (
         figures.join(medians, same)

@@ -12,29 +12,24 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapwright.functions import exact_mean, rounded_stddev
+from lapwright.functions import exact_mean, mean_of_parts, spread_of_parts
 from lapwright.operators import points_in_intervals
-from lapwright.plans.common import ENTRY, RACE_TYPES, Tables, clear_laps, names, only
+from lapwright.plans.common import ENTRY, RACE_TYPES, Tables, names, only
+from lapwright.plans.states import SHOWN, state
 
 
 def driver_performance(tables: Tables) -> DataFrame:
     """Pace, speed and pit stops per session and driver who set a clear lap."""
-    pace = clear_laps(tables).groupBy(*ENTRY).agg(
-        F.count(F.lit(1)).alias("total_laps"),
-        F.min("lap_duration").alias("fastest_lap_time"),
-        exact_mean("lap_duration").alias("avg_lap_time"),
-        rounded_stddev("lap_duration").alias("lap_time_consistency"),
-        *[F.max(f"{trap}_speed").alias(f"max_speed_{trap}") for trap in ("i1", "i2", "st")],
-    )
-    stops = tables["silver_pit"].groupBy(*ENTRY).agg(
-        F.count(F.lit(1)).alias("stops"),
-        exact_mean("pit_duration").alias("avg_pit_duration"),
-        F.min("pit_duration").alias("fastest_pit_stop"),
+    speeds = [f"max_speed_{trap}" for trap in ("i1", "i2", "st")]
+    pace = state(tables, "state_pace").select(
+        *ENTRY, "total_laps", "fastest_lap_time", mean_of_parts().alias("avg_lap_time"),
+        spread_of_parts().alias("lap_time_consistency"), *speeds,
     )
+    stops = state(tables, "state_pit").select(*ENTRY, "stops", mean_of_parts().alias("avg_pit_duration"), "fastest_pit_stop")
     named = pace.join(names(tables), ENTRY, "left").join(stops, ENTRY, "left")
     return named.withColumn("pit_stop_count", F.coalesce("stops", F.lit(0))).select(
         *ENTRY, "full_name", "team_name", "total_laps", "fastest_lap_time", "avg_lap_time", "lap_time_consistency",
-        "max_speed_i1", "max_speed_i2", "max_speed_st", "pit_stop_count", "avg_pit_duration", "fastest_pit_stop",
+        *speeds, "pit_stop_count", "avg_pit_duration", "fastest_pit_stop",
     )
 
 
@@ -45,28 +40,16 @@ def race_summary(tables: Tables) -> DataFrame:
     a timed lap that is known to start from the pit lane.
     """
     key = "session_key"
-    driven = tables["silver_laps"].where("lap_duration is not null").groupBy(key).agg(
-        F.max("lap_number").alias("total_laps"),
-        F.min("lap_duration").alias("fastest_lap"),
-        F.count_if("is_pit_out_lap").alias("total_pit_stops"),
-    )
-    shown = {
-        "yellow_flags": F.col("flag") == "YELLOW",
-        "red_flags": F.col("flag") == "RED",
-        "safety_cars": F.col("category") == "SafetyCar",
-    }
-    messages = tables["silver_race_control"].groupBy(key).agg(*[F.count_if(c).alias(n) for n, c in shown.items()])
-    conditions = tables["silver_weather"].groupBy(key).agg(
-        exact_mean("air_temperature").alias("avg_air_temp"),
-        exact_mean("track_temperature").alias("avg_track_temp"),
-        F.max("rainfall").alias("rainfall_detected"),
+    conditions = state(tables, "state_weather").select(
+        key, mean_of_parts("air_temperature_").alias("avg_air_temp"), mean_of_parts("track_temperature_").alias("avg_track_temp"),
+        "rainfall_detected",
     )
     summary = only(tables["silver_sessions"], session_type=RACE_TYPES)
-    for part in (driven, messages, conditions):
+    for part in (state(tables, "state_race_laps"), state(tables, "state_messages"), conditions):
         summary = summary.join(part, key, "left")
-    return summary.fillna(0, list(shown)).select(
+    return summary.fillna(0, list(SHOWN)).select(
         key, "meeting_key", "session_name", "location", "date_start", "date_end", "total_laps", "fastest_lap",
-        "total_pit_stops", *shown, "avg_air_temp", "avg_track_temp", "rainfall_detected",
+        "total_pit_stops", *SHOWN, "avg_air_temp", "avg_track_temp", "rainfall_detected",
     )
 
 
@@ -108,8 +91,7 @@ def fastest_laps(tables: Tables) -> DataFrame:
     Equal times: the earlier lap is the driver's best, and the lower driver number
     ranks first. A session is ranked by one task, but only over one row per driver.
     """
-    lap = F.struct("lap_duration", "lap_number")
-    best = clear_laps(tables).groupBy(*ENTRY).agg(F.min(lap).alias("best")).select(
+    best = state(tables, "state_best_lap").select(
         *ENTRY,
         F.col("best.lap_number").alias("lap_number"),
         F.col("best.lap_duration").alias("fastest_lap_time"),
@@ -133,14 +115,9 @@ def overtakes_analysis(tables: Tables) -> DataFrame:
     A driver is named only if the driver row belongs to the same meeting.
     """
     who = [*ENTRY, "meeting_key"]
-    made = (
-        tables["silver_overtakes"]
-        .withColumnRenamed("overtaking_driver_number", "driver_number")
-        .groupBy(*who)
-        .agg(F.count(F.lit(1)).alias("overtakes_made"))
-    )
     listed = tables["silver_drivers"].select(*who, "full_name", "team_name")
-    return made.join(listed, who, "left").select(*ENTRY, "full_name", "team_name", "overtakes_made")
+    made = state(tables, "state_overtakes").join(listed, who, "left")
+    return made.select(*ENTRY, "full_name", "team_name", "overtakes_made")
 
 
 GOLD = {
@@ -153,5 +130,16 @@ GOLD = {
 }
 
 
+# What each table is made from; all of it meets on the session.
+SOURCES = {
+    "gold_driver_performance": ("state_pace", "state_pit", "silver_drivers"),
+    "gold_race_summary": ("silver_sessions", "state_race_laps", "state_messages", "state_weather"),
+    "gold_tyre_strategy": ("silver_laps", "silver_stints", "silver_drivers"),
+    "gold_fastest_laps": ("state_best_lap", "silver_drivers", "silver_sessions"),
+    "gold_overtakes_analysis": ("state_overtakes", "silver_drivers"),
+    "gold_team_performance": ("gold_driver_performance",),
+}
+
+
 def builders() -> Mapping:
     return dict(GOLD)

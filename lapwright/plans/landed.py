@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapwright.operators.audit import row_counts
-from lapwright.plans.cascade import update
+from lapwright.plans.cascade import PROCESSED_AT, Update, rule_history, update
 from lapwright.plans.common import Tables
+from lapwright.plans.quarantine import quarantine
 from lapwright.schemas import TABLES
 from lapwright.session import shared_folder
 from lapwright.sources import files, landing
+from lapwright.sources.tables import list_tables, preview, save_as_table, table
 from lapwright.streaming import bronze
 
 CASCADE = ("sessions", "drivers", "laps", "pit")
@@ -23,12 +25,20 @@ def home(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/landed-{uuid.uuid4().hex}"
 
 
-def streamed(spark: SparkSession, tables: Tables, endpoints: list[str]) -> bronze.Bronze:
-    """Land the raw records of some endpoints as files and stream them into raw tables."""
+def streamed(spark: SparkSession, tables: Tables, endpoints: list[str], parts: int = 0) -> bronze.Bronze:
+    """Land the raw records of some endpoints as files and stream them into raw tables.
+
+    With ``parts``, the records of an endpoint are landed as so many named batches at most, by their session or meeting.
+    """
     folder = home(spark)
     for endpoint in endpoints:
         rows = tables[TABLES[endpoint].bronze]
-        landing.land(rows, f"{folder}/landing", endpoint, records_per_file=10_000 if endpoint == "car_data" else 0)
+        if parts:
+            key = "session_key" if "session_key" in rows.columns else "meeting_key"
+            name = F.concat(F.lit("part_"), (F.col(key) % parts).cast("string"))
+            landing.land_batches(rows, f"{folder}/landing", endpoint, name=name)
+        else:
+            landing.land(rows, f"{folder}/landing", endpoint, records_per_file=10_000 if endpoint == "car_data" else 0)
     raw = bronze.Bronze(spark, f"{folder}/landing", f"{folder}/raw")
     raw.ingest(endpoints)
     files.delete(spark, f"{folder}/landing")
@@ -73,7 +83,98 @@ def cascade_counts(spark: SparkSession, tables: Tables) -> DataFrame:
     for endpoint in CASCADE:
         rows = tables[TABLES[endpoint].bronze]
         landing.land(rows.where("lap_number <= 30") if endpoint == "laps" else rows, f"{folder}/landing", endpoint)
-    update(spark, f"{folder}/landing", f"{folder}/lake")
+    update(spark, f"{folder}/landing", f"{folder}/lake", buckets=4)
     landing.land(tables["bronze_laps"].where("lap_number > 30"), f"{folder}/landing", "laps")
-    done = update(spark, f"{folder}/landing", f"{folder}/lake")
+    done = update(spark, f"{folder}/landing", f"{folder}/lake", buckets=4)
     return row_counts(done.tables, [*[TABLES[e].silver for e in CASCADE], "gold_driver_performance", "gold_fastest_laps"])
+
+
+def widened(spark: SparkSession, tables: Tables) -> DataFrame:
+    """Results with two columns that nobody listed: whole points, then halves; numbers of a grid, then words."""
+    folder, results = home(spark), tables["bronze_session_result"].where("position <= 3")
+    drops = (("position = 1", "25", "position"), ("position = 2", "12.5", "'pit lane'"), ("position = 3", "null", "null"))
+    for condition, points, grid in drops:
+        rows = results.where(condition).withColumns({"points": F.expr(points), "grid": F.expr(grid)})
+        landing.land(rows, f"{folder}/landing", "session_result")
+        done = update(spark, f"{folder}/landing", f"{folder}/lake", buckets=4)
+    return done.tables["silver_session_result"].select("session_key", "driver_number", "position", "points", "grid")
+
+
+def _corrected(laps: DataFrame) -> DataFrame:
+    """Copies of some laps, each a second quicker, which come first among the copies of their key."""
+    return laps.where("lap_number % 7 = 3").withColumn("lap_duration", F.col("lap_duration") - 1)
+
+
+def three_drops(spark: SparkSession, tables: Tables) -> Update:
+    """Stored tables after three drops: early laps with everything else, late laps, corrected copies of some laps."""
+    folder, laps = home(spark), tables["bronze_laps"]
+    for endpoint in ("sessions", "drivers", "pit", "weather", "race_control", "overtakes"):
+        landing.land(tables[TABLES[endpoint].bronze], f"{folder}/landing", endpoint)
+    for drop in (laps.where("lap_number <= 30"), laps.where("lap_number > 30"), _corrected(laps)):
+        landing.land(drop, f"{folder}/landing", "laps")
+        done = update(spark, f"{folder}/landing", f"{folder}/lake", buckets=4)
+    return done
+
+
+def corrected_performance(spark: SparkSession, tables: Tables) -> DataFrame:
+    """Driver performance after early, late and corrected laps."""
+    return three_drops(spark, tables).tables["gold_driver_performance"].drop(PROCESSED_AT)
+
+
+def corrected_races(spark: SparkSession, tables: Tables) -> DataFrame:
+    """Race summaries after early, late and corrected laps."""
+    return three_drops(spark, tables).tables["gold_race_summary"].drop(PROCESSED_AT)
+
+
+def refreshed_counts(spark: SparkSession, tables: Tables) -> DataFrame:
+    """Rows of stored tables after an update and a full refresh, which reads every file a second time."""
+    folder = home(spark)
+    for endpoint in CASCADE:
+        landing.land(tables[TABLES[endpoint].bronze], f"{folder}/landing", endpoint)
+    update(spark, f"{folder}/landing", f"{folder}/lake", buckets=4)
+    done = update(spark, f"{folder}/landing", f"{folder}/lake", full_refresh=True, buckets=4)
+    names = [x for e in CASCADE for x in (TABLES[e].bronze, TABLES[e].silver)]
+    return row_counts(done.tables, [*names, "gold_driver_performance"])
+
+
+def two_updates(spark: SparkSession, raw: Tables) -> tuple[str, Update]:
+    """Folder and tables after two updates with records that break rules: even meetings and laps, then odd ones."""
+    folder = home(spark)
+    for rest in (0, 1):
+        for endpoint, key in (("meetings", "meeting_key"), ("laps", "driver_number")):
+            part = F.coalesce(F.col(key).cast("int"), F.lit(0)) % 2 == rest
+            landing.land(raw[f"dirty_{endpoint}"].where(part), f"{folder}/landing", endpoint)
+        done = update(spark, f"{folder}/landing", f"{folder}/lake", buckets=4)
+    return f"{folder}/lake", done
+
+
+def refused(spark: SparkSession, raw: Tables) -> DataFrame:
+    """Rows kept out of the cleaned tables after two updates: table, rules and key."""
+    key = F.when(
+        F.col("table_name") == "silver_laps",
+        F.concat_ws("/", *[F.coalesce(F.get_json_object("record", f"$.{c}"), F.lit("-")) for c in TABLES["laps"].key]),
+    ).otherwise(F.coalesce(F.get_json_object("record", "$.meeting_key"), F.lit("-")))
+    return quarantine(two_updates(spark, raw)[1]).select("table_name", "rules", key.alias("key"))
+
+
+def history(spark: SparkSession, raw: Tables) -> DataFrame:
+    """Counts per rule after each of two updates."""
+    return rule_history(spark, two_updates(spark, raw)[0]).drop("at")
+
+
+def data_files(spark: SparkSession, tables: Tables) -> DataFrame:
+    """Data files per landed batch; marker files do not count."""
+    folder = home(spark)
+    landing.land_batches(tables["bronze_pit"], folder, "pit", by=("session_key",))
+    batch = F.regexp_extract("path", "/batch=([^/]+)/", 1).alias("batch")
+    return landing.data_files(spark, folder, "pit").groupBy(batch).agg(F.count(F.lit(1)).alias("files"))
+
+
+def saved_answer(spark: SparkSession, tables: Tables) -> DataFrame:
+    """An answer kept as a catalog table, listed there, and read back by name: its ten first rows by key."""
+    name = "kept_driver_performance"
+    save_as_table(tables["gold_driver_performance"], name)
+    if name not in list_tables(spark):
+        raise LookupError(name)
+    columns = ["session_key", "driver_number", "total_laps", "fastest_lap_time"]
+    return preview(table(spark, name).select(*columns).orderBy("session_key", "driver_number"))

@@ -24,9 +24,15 @@ def grid_to_finish(tables: Tables) -> DataFrame:
     """Correlation of starting and final position."""
     grid = tables["silver_starting_grid"].select(*ENTRY, F.col("position").alias("start"))
     result = tables["silver_session_result"].select(*ENTRY, F.col("position").alias("finish"))
-    return grid.join(result, ENTRY).agg(
-        F.count(F.lit(1)).alias("entries"), F.round(F.corr("start", "finish"), 6).alias("correlation")
+    # Sums of whole numbers do not depend on the order of rows.
+    x, y = (F.col(c).cast("long") for c in ("start", "finish"))
+    sums = grid.join(result, ENTRY).agg(
+        F.count(F.lit(1)).alias("entries"), F.count(x + y).alias("n"),
+        *[F.sum(F.when((x + y).isNotNull(), v)).alias(name) for name, v in dict(x=x, y=y, xx=x * x, yy=y * y, xy=x * y).items()],
     )
+    n, sx, sy, xx, yy, xy = (F.col(c).cast("double") for c in ("n", "x", "y", "xx", "yy", "xy"))
+    spread = F.sqrt((n * xx - sx * sx) * (n * yy - sy * sy))
+    return sums.select("entries", ((n * xy - sx * sy) / F.nullif(spread, F.lit(0.0))).alias("correlation"))
 
 
 def longest_pit_stop(tables: Tables) -> DataFrame:
@@ -75,5 +81,5 @@ def team_gaps(tables: Tables) -> DataFrame:
     quickest = F.min("team_avg_lap_time").over(Window.partitionBy("session_key"))
     return tables["gold_team_performance"].select(
         "session_key", "team_name", "team_avg_lap_time",
-        F.round(F.col("team_avg_lap_time") - quickest, 6).alias("gap_to_fastest"),
+        (F.col("team_avg_lap_time") - quickest).alias("gap_to_fastest"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # UTC, with enough digits for any timestamp Spark holds.
@@ -33,16 +33,17 @@ def land(df: DataFrame, root: str, endpoint: str, records_per_file: int = 0) ->
 
 
 def land_batches(
-    df: DataFrame, root: str, endpoint: str, by: tuple[str, ...] = ("session_key", "driver_number")
+    df: DataFrame, root: str, endpoint: str, by: tuple[str, ...] = ("session_key", "driver_number"),
+    name: Column | None = None,
 ) -> str:
-    """Add records in one sub-folder per batch, such as ``session_key_7_driver_number_44``.
+    """Add records in one sub-folder per batch, such as ``session_key_7_driver_number_44``, or by a given ``name``.
 
     For endpoints that are fetched piece by piece. Rows of a batch are brought
     together first, so that it makes few files; Spark splits a batch that is too
     large for one task. The records keep all their columns.
     """
     folder = endpoint_folder(root, endpoint)
-    batch = F.concat_ws("_", *[part for c in by for part in (F.lit(c), F.col(c).cast("string"))])
+    batch = name if name is not None else F.concat_ws("_", *[p for c in by for p in (F.lit(c), F.col(c).cast("string"))])
     grouped = df.withColumn("batch", batch).hint("rebalance", "batch")
     grouped.write.mode("append").options(**_WRITE_OPTIONS).partitionBy("batch").json(folder)
     return folder

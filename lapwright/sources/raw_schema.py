@@ -1,63 +1,146 @@
-"""Schema of raw JSON: inferred, overridden by hints, remembered, and only ever widened."""
+"""Schema of raw JSON: found in the records, overridden by hints, remembered, and only ever widened.
+
+Raw tables keep every record as one VARIANT value. The schema says which columns are taken out of it and with which
+types when it is read, so a column that grows wider later changes the reading of earlier records, too, and loses nothing.
+"""
 
 from __future__ import annotations
 
-import datetime as dt
 import json
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrameReader, SparkSession
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql import Column, DataFrameReader, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    DecimalType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    NullType,
+    StringType,
+    StructField,
+    StructType,
+    VariantType,
+)
 
 from lapwright.schemas import RESCUED
 from lapwright.sources import files
 
-
-def changed_since(reader: DataFrameReader, since: dt.datetime | None) -> DataFrameReader:
-    """Reader of JSON files below a folder, restricted to those changed after a time."""
-    reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
-    if since is None:
-        return reader
-    return reader.option("modifiedAfter", since.strftime("%Y-%m-%dT%H:%M:%S")).option("timeZone", "UTC")
-
-
-def infer(spark: SparkSession, folder: str, since: dt.datetime | None = None, share: float = 1.0) -> StructType:
-    """Types found in the JSON files of a folder, or in those changed after ``since``.
-
-    By default every new record is looked at, in parallel. A ``share`` below one
-    reads fewer records and may miss a column that only few of them have.
-    """
-    try:
-        return changed_since(spark.read, since).option("samplingRatio", share).json(folder).schema
-    except AnalysisException as problem:
-        if problem.getCondition() == "UNABLE_TO_INFER_SCHEMA":
-            return StructType()  # nothing new
-        raise
-
-
-def merge(
-    known: StructType, found: StructType, hints: StructType, listed: StructType | None = None
-) -> StructType:
-    """Known columns keep place and type, new ones follow, hinted types win.
-
-    A column whose ``listed`` type is double starts as one, even if all values so far are
-    whole numbers. A known type is never changed, since files of that type are already
-    stored. A later value of another type is kept as text in the rescued-data column.
+# Beside the type that a column is read with, the type that its values were found to have.
+SEEN = "seen"
+
+
+def json_files(reader: DataFrameReader) -> DataFrameReader:
+    """Reader of the JSON files anywhere below a folder."""
+    return reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
+
+
+def found_in(shape: str | None) -> StructType:
+    """Columns and types of records, from what ``schema_of_variant_agg`` says about them."""
+    if not shape or not shape.startswith("OBJECT<"):
+        return StructType()
+    return _plain(DataType.fromDDL(shape.replace("OBJECT<", "STRUCT<")))
+
+
+def _plain(kind: DataType) -> DataType:
+    """Decimals are read as doubles; values of several kinds, which stay variants, as text."""
+    if isinstance(kind, DecimalType):
+        return DoubleType()
+    if isinstance(kind, VariantType):
+        return StringType()
+    if isinstance(kind, ArrayType):
+        return ArrayType(_plain(kind.elementType))
+    if isinstance(kind, StructType):
+        return StructType([StructField(f.name, _plain(f.dataType)) for f in kind])
+    return kind
+
+
+def widened(a: DataType, b: DataType) -> DataType:
+    """The narrowest type that holds values of both; in the end that is text."""
+    if a == b or isinstance(b, NullType):
+        return a
+    if isinstance(a, NullType):
+        return b
+    numbers = (IntegerType, LongType, DoubleType)
+    if isinstance(a, numbers) and isinstance(b, numbers):
+        return DoubleType() if DoubleType() in (a, b) else LongType()
+    if isinstance(a, ArrayType) and isinstance(b, ArrayType):
+        return ArrayType(widened(a.elementType, b.elementType))
+    if isinstance(a, StructType) and isinstance(b, StructType):
+        kinds = {f.name: f.dataType for f in a}
+        for f in b:
+            kinds[f.name] = widened(kinds.get(f.name, NullType()), f.dataType)
+        return StructType([StructField(n, k) for n, k in kinds.items()])
+    return StringType()
+
+
+def merge(known: StructType, found: StructType, hints: StructType, listed: StructType | None = None) -> StructType:
+    """Known columns keep their place, new ones follow, hinted types win.
+
+    A column whose ``listed`` type is double starts as one, even if all values so far are whole numbers. The type of
+    a listed column widens among numbers; a value of another kind stays in the record's rescued text, from where the cleaned
+    table takes it. Any other column widens to whatever holds all its values.
     """
     hinted = {f.name: f.dataType for f in hints}
-    measures = {f.name for f in listed or () if isinstance(f.dataType, DoubleType)}
-    merged = {f.name: f for f in known}
-    for field in [*hints, *found]:
-        if field.name not in merged and field.name != RESCUED:
-            kind = hinted.get(field.name, field.dataType)
-            if field.name in measures and isinstance(kind, LongType):
+    fixed = {f.name: f.dataType for f in listed or ()}
+    merged = {f.name.lower(): f for f in known}
+    for field, seen in [*((f, NullType()) for f in hints), *((f, f.dataType) for f in found)]:
+        name, old = field.name, merged.get(field.name.lower())
+        if name == RESCUED or old is not None and old.name != name or "'" in name and '"' in name:
+            continue  # names that differ in case only, or that no path can name: values stay in the record
+        if old is not None:
+            seen = widened(_seen(old), seen)
+        if name in hinted:
+            kind = hinted[name]
+        elif old is None or isinstance(old.dataType, NullType):
+            kind = field.dataType
+            if isinstance(fixed.get(name), DoubleType) and isinstance(kind, LongType):
                 kind = DoubleType()
-            merged[field.name] = StructField(field.name, kind, True)
+        else:
+            kind = widened(old.dataType, field.dataType)
+            if name in fixed and isinstance(kind, StringType):
+                kind = old.dataType
+        merged[name.lower()] = StructField(name, kind, True, {SEEN: seen.json()})
     return StructType(list(merged.values()))
 
 
-def with_rescue(schema: StructType) -> StructType:
-    return StructType([*schema, StructField(RESCUED, StringType(), True)])
+def _seen(field: StructField) -> DataType:
+    said = (field.metadata or {}).get(SEEN)
+    return StructType.fromJson({"fields": [{"name": "x", "type": json.loads(said), "nullable": True, "metadata": {}}]})["x"].dataType if said else field.dataType
+
+
+def _ddl(kind: DataType) -> str:
+    if isinstance(kind, NullType):
+        return "string"
+    if isinstance(kind, ArrayType):
+        return f"array<{_ddl(kind.elementType)}>"
+    if isinstance(kind, StructType):
+        quoted = [f"`{f.name.replace('`', '``')}`: {_ddl(f.dataType)}" for f in kind]
+        return f"struct<{', '.join(quoted)}>"
+    return kind.simpleString()
+
+
+def _path(name: str) -> str:
+    quote = '"' if "'" in name else "'"
+    return f"$[{quote}{name}{quote}]"
+
+
+def read_as(record: Column, schema: StructType) -> list[Column]:
+    """The columns of a schema, taken out of a record, and the text of the record if a value did not fit its column."""
+    columns, misfits = [], F.lit(False)
+    for field in schema:
+        path, kind = _path(field.name), field.dataType
+        value, seen = F.try_variant_get(record, path, _ddl(kind)), _seen(field)
+        if isinstance(kind, (IntegerType, LongType)) and not isinstance(seen, (IntegerType, LongType, NullType)):
+            number = F.try_variant_get(record, path, "double")
+            value = F.when(number == F.floor(number), value)
+        columns.append(value.alias(field.name))
+        same = seen == kind or isinstance(kind, (StringType, NullType)) or isinstance(seen, NullType)
+        if not same and not (isinstance(kind, DoubleType) and isinstance(seen, LongType)):
+            raw = F.try_variant_get(record, path, "variant")
+            misfits = misfits | (value.isNull() & raw.isNotNull() & ~F.is_variant_null(raw))
+    return [*columns, F.coalesce(F.col(RESCUED), F.when(misfits, F.to_json(record))).alias(RESCUED)]
 
 
 class SchemaStore:
@@ -69,23 +152,16 @@ class SchemaStore:
 
     def _versions(self, endpoint: str) -> list[int]:
         names = files.child_names(self.spark, f"{self.root}/{endpoint}")
-        versions = sorted(int(n[2:]) for n in names if n.startswith("v="))
-        return [v for v in versions if files.exists(self.spark, f"{self.root}/{endpoint}/v={v}/_SUCCESS")]
+        return sorted(int(n[1:-5]) for n in names if n.startswith("v") and n.endswith(".json"))
 
-    def load(self, endpoint: str) -> tuple[StructType, dt.datetime | None]:
-        """Newest schema and the time up to which files were looked at."""
+    def load(self, endpoint: str) -> StructType | None:
+        """Newest schema; None if no record was seen yet."""
         versions = self._versions(endpoint)
         if not versions:
-            return StructType(), None
-        row = self.spark.read.schema("seen_until string, schema string").json(
-            f"{self.root}/{endpoint}/v={versions[-1]}"
-        ).first()
-        return StructType.fromJson(json.loads(row.schema)), dt.datetime.fromisoformat(row.seen_until)
-
-    def save(self, endpoint: str, schema: StructType, seen_until: dt.datetime) -> None:
-        version = max(self._versions(endpoint), default=0) + 1
-        line = [(seen_until.isoformat(), schema.json())]
-        self.spark.createDataFrame(line, "seen_until string, schema string").coalesce(1).write.mode(
-            "overwrite"
-        ).json(f"{self.root}/{endpoint}/v={version}")
+            return None
+        return StructType.fromJson(json.loads(files.read_text(self.spark, f"{self.root}/{endpoint}/v{versions[-1]}.json")))
 
+    def save(self, endpoint: str, schema: StructType) -> None:
+        if schema != self.load(endpoint):
+            version = max(self._versions(endpoint), default=0) + 1
+            files.write_text(self.spark, f"{self.root}/{endpoint}/v{version}.json", schema.json())

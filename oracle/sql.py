@@ -21,6 +21,13 @@ def mean(x: str) -> str:
     return f"(cast(sum(cast({x} as decimal(28,10))) as double) / nullif(count({x}), 0))"
 
 
+def spread(x: str) -> str:
+    """Sample standard deviation from exact sums; through text, since a large decimal is not cast to the nearest double."""
+    total, squares = (f"cast(cast(sum(cast({v} as decimal(28,10))) as varchar) as double)" for v in (x, f"{x} * {x}"))
+    n = f"cast(count({x}) as double)"
+    return f"case when count({x}) > 1 then sqrt(greatest(({squares} - {total} * {total} / {n}) / ({n} - 1), 0)) end"
+
+
 def rnd(x: str, n: int) -> str:
     return f"cast(round(cast({x} as decimal(28,10)), {n}) as double)"
 
@@ -171,7 +178,7 @@ select l.session_key, l.driver_number, d.full_name, d.team_name, total_laps, fas
   avg_pit_duration, fastest_pit_stop
 from (
   select session_key, driver_number, count(*) as total_laps, min(lap_duration) as fastest_lap_time,
-    {mean('lap_duration')} as avg_lap_time, round(stddev_samp(lap_duration), 6) as lap_time_consistency,
+    {mean('lap_duration')} as avg_lap_time, {spread('lap_duration')} as lap_time_consistency,
     max(i1_speed) as max_speed_i1, max(i2_speed) as max_speed_i2, max(st_speed) as max_speed_st
   from silver_laps where is_pit_out_lap = false and lap_duration is not null group by session_key, driver_number) l
 left join silver_drivers d on d.session_key = l.session_key and d.driver_number = l.driver_number
@@ -396,8 +403,8 @@ select case when avg_track_temp < 30 then 'Cold (<30°C)' when avg_track_temp <=
 from gold_race_summary where avg_track_temp is not null group by 1"""
 Q["explore_lap_distribution"] = f"""
 select s.location, s.circuit_short_name, count(l.lap_number) as total_laps, min(l.lap_duration) as fastest_lap,
-  {mean('l.lap_duration')} as avg_lap, round(quantile_cont(l.lap_duration, 0.5), 6) as median_lap,
-  round(stddev_samp(l.lap_duration), 6) as lap_consistency
+  {mean('l.lap_duration')} as avg_lap, quantile_cont(l.lap_duration, 0.5) as median_lap,
+  {spread('l.lap_duration')} as lap_consistency
 from silver_laps l join silver_sessions s on s.session_key = l.session_key
 where l.lap_duration is not null and l.is_pit_out_lap = false and s.session_type = 'Race'
 group by s.location, s.circuit_short_name"""
@@ -578,9 +585,7 @@ Q["app_stint_quartiles_by_compound"] = f"select compound, {_QUARTILES} from ({_B
 Q["app_usage_pivot"] = f"""
 select team_name, {', '.join(
     f"cast(coalesce(sum(case when compound = '{c}' then usage_count end), 0) as bigint) as {c}"
-    for c in ("SOFT", "MEDIUM", "HARD", "INTERMEDIATE", "WET"))},
-  cast(coalesce(sum(case when compound in ('SOFT', 'MEDIUM', 'HARD', 'INTERMEDIATE', 'WET') then 0
-    else usage_count end), 0) as bigint) as "OTHER"
+    for c in ("SOFT", "MEDIUM", "HARD", "INTERMEDIATE", "WET"))}
 from ({_BY_TEAM}) where team_name is not null group by team_name"""
 
 
@@ -601,7 +606,8 @@ Q["landed_counts"] = " union all ".join(
     f"select '{n}' as table_name, count(*) as records from raw_{n}" for n in "meetings sessions car_data laps".split()
 )
 Q["ingest_ledger"] = " union all ".join(
-    f"select '{n}' as endpoint, count(*) as records from raw_{n}"
+    f"select '{n}' as endpoint, count(*) as records, cast(0 as bigint) as malformed, "
+    f"count(distinct {'meeting_key' if n == 'meetings' else 'session_key'} % 4) as files from raw_{n}"
     for n in (
         "meetings sessions drivers laps pit stints car_data position weather race_control team_radio intervals "
         "overtakes session_result starting_grid"
@@ -660,13 +666,70 @@ Q["cascade_counts"] = _audit(
     "silver_sessions silver_drivers silver_laps silver_pit gold_driver_performance gold_fastest_laps"
 ).replace('true as "exists", ', "")
 
+Q["cascade_refreshed"] = _audit("silver_sessions silver_drivers silver_laps silver_pit gold_driver_performance").replace(
+    'true as "exists", ', ""
+) + "".join(f" union all select 'bronze_{n}', count(*) from raw_{n}" for n in "sessions drivers laps pit".split())
+Q["ingest_data_files"] = "select distinct 'session_key_' || session_key as batch, cast(1 as bigint) as files from raw_pit"
+Q["ingest_widened"] = """
+select session_key, driver_number, position, case position when 1 then 25.0 when 2 then 12.5 end :: double as points,
+  case position when 1 then '1' when 2 then 'pit lane' end as grid
+from raw_session_result where position <= 3"""
+# All laps at once, early, late and corrected, cleaned and aggregated by the same statements as above.
+CTE["raw_more_laps"] = """
+select * from raw_laps
+union all select * replace (lap_duration - 1 as lap_duration) from raw_laps where lap_number % 7 = 3"""
+CTE["corrected_laps"] = CTE["silver_laps"].replace("raw_laps", "raw_more_laps")
+Q["cascade_corrected"] = CTE["gold_driver_performance"].replace("silver_laps", "corrected_laps")
+Q["cascade_corrected_races"] = CTE["gold_race_summary"].replace("silver_laps", "corrected_laps")
+
+_RULES = {
+    "meetings": (("valid_meeting_key", "meeting_key is not null"), ("valid_year", "year >= 2018 and year <= 2030")),
+    "laps": (("valid_lap", "lap_number is not null and lap_number > 0"), ("valid_duration", "lap_duration is null or lap_duration > 0")),
+}
+_PART = {"meetings": "coalesce(try_cast(meeting_key as int), 0) % 2", "laps": "driver_number % 2"}
+_KEY = {
+    "meetings": "coalesce(cast(meeting_key as varchar), '-')",
+    "laps": "concat_ws('/', coalesce(cast(session_key as varchar), '-'), coalesce(cast(driver_number as varchar), '-'), "
+    "coalesce(cast(lap_number as varchar), '-'))",
+}
+Q["quarantine"] = " union all ".join(
+    f"select 'silver_{n}' as table_name, concat_ws(',', "
+    + ", ".join(f"case when not coalesce({test}, false) then '{rule}' end" for rule, test in _RULES[n])
+    + f") as rules, {_KEY[n]} as key from unruled_dirty_{n} where not coalesce("
+    + " and ".join(f"({test})" for _, test in _RULES[n]) + ", false)"
+    for n in _RULES
+)
+Q["rule_history"] = " union all ".join(
+    f"select cast({run} as bigint) as run, 'silver_{n}' as table_name, '{rule}' as rule, 'drop' as action, "
+    f"count_if(coalesce({test}, false)) as passed, count_if(not coalesce({test}, false)) as failed "
+    f"from unruled_dirty_{n}" + (f" where {_PART[n]} = 0" if run == 1 else "")
+    for run in (1, 2) for n in _RULES for rule, test in _RULES[n]
+) + "".join(
+    f" union all select 1, 'silver_{n}', '{rule}', '{action}', 0, 0"
+    for n, rule, action in (
+        ("sessions", "valid_session_key", "drop"), ("sessions", "valid_meeting_key", "drop"),
+        ("drivers", "valid_driver_number", "drop"), ("car_data", "valid_speed", "warn"), ("car_data", "valid_rpm", "warn"),
+    )
+)
+Q["saved_answer"] = """
+select session_key, driver_number, total_laps, fastest_lap_time from gold_driver_performance
+order by session_key, driver_number limit 10"""
+Q["app_driver_numbers"] = f"""
+select distinct d.driver_number from silver_drivers d join silver_sessions s on s.session_key = d.session_key
+where s.year = {YEAR} and d.full_name in ('Driver 3', 'Driver 12', 'Nobody')"""
+
 # Season questions.
 Q["ask_pole_positions"] = """
 select d.full_name, d.team_name, count(*) as poles from silver_starting_grid g
 left join silver_drivers d on d.session_key = g.session_key and d.driver_number = g.driver_number
 where g.position = 1 group by all"""
 Q["ask_grid_to_finish"] = """
-select count(*) as entries, round(corr(g.position, r.position), 6) as correlation
+select count(*) as entries,
+  (count(*) * cast(sum(g.position * r.position) as double) - cast(sum(g.position) as double) * cast(sum(r.position) as double))
+  / nullif(sqrt(
+    (count(*) * cast(sum(g.position * g.position) as double) - cast(sum(g.position) as double) * cast(sum(g.position) as double))
+    * (count(*) * cast(sum(r.position * r.position) as double) - cast(sum(r.position) as double) * cast(sum(r.position) as double))
+  ), 0) as correlation
 from silver_starting_grid g join silver_session_result r
   on r.session_key = g.session_key and r.driver_number = g.driver_number"""
 Q["ask_longest_pit_stop"] = """
@@ -685,7 +748,7 @@ Q["ask_safety_car_races"] = """
 select session_name, location, date_start, safety_cars from gold_race_summary where safety_cars > 0"""
 Q["ask_team_gaps"] = """
 select session_key, team_name, team_avg_lap_time,
-  round(team_avg_lap_time - min(team_avg_lap_time) over (partition by session_key), 6) as gap_to_fastest
+  team_avg_lap_time - min(team_avg_lap_time) over (partition by session_key) as gap_to_fastest
 from gold_team_performance"""
 
 _NAME = re.compile(r"\b(?:%s)\b" % "|".join(sorted(CTE, key=len, reverse=True)))

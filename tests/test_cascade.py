@@ -26,7 +26,7 @@ def updated(spark, tmp_path_factory):
          (1, 44, "A", "T", 9), (1, 16, "B", "U", 9))
     laps = "session_key int, driver_number int, lap_number int, lap_duration double, is_pit_out_lap boolean"
     drop("laps", laps, (1, 44, 1, 91.0, False), (1, 44, 1, 91.0, False), (1, 16, 1, 90.0, False), (1, 16, 2, -1.0, False))
-    first = update(spark, f"{home}/landing", f"{home}/lake")
+    first = update(spark, f"{home}/landing", f"{home}/lake", buckets=4)
     drop("laps", laps, (1, 44, 2, 89.0, False))
     second = update(spark, f"{home}/landing", f"{home}/lake")
     third = update(spark, f"{home}/landing", f"{home}/lake", full_refresh=True)
@@ -38,9 +38,11 @@ def test_updates_add_only_new_records(updated):
     assert first.ingested == {"sessions": 1, "drivers": 2, "laps": 4}
     assert second.ingested == {"sessions": 0, "drivers": 0, "laps": 1}
     assert third.ingested == {"sessions": 1, "drivers": 2, "laps": 5}
-    assert len(first.written) == 15 + 6
+    assert len(first.written) == 15 + 7 + 6
     assert [n for n in second.written if n.startswith("silver")] == ["silver_laps"]
-    assert len(second.written) == 1 + 6
+    # Nothing about pit stops, weather, messages or overtakes is written again.
+    assert {n for n in second.written if n.startswith("state")} == {"state_pace", "state_best_lap", "state_race_laps"}
+    assert "gold_overtakes_analysis" not in second.written and len(second.written) == 1 + 3 + 5
     assert third.metrics["silver_laps"] == {"rows": 4, "valid_lap": 0, "valid_duration": 1}
     assert set(third.malformed.values()) == {0}
 
