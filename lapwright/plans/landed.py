@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lapwright.operators.audit import row_counts
 from lapwright.plans.cascade import PROCESSED_AT, Update, rule_history, update
-from lapwright.plans.common import Tables
+from lapwright.plans.common import ENTRY, Tables
 from lapwright.plans.quarantine import quarantine
 from lapwright.schemas import TABLES
 from lapwright.session import shared_folder
@@ -116,14 +116,17 @@ def three_drops(spark: SparkSession, tables: Tables) -> Update:
     return done
 
 
-def corrected_performance(spark: SparkSession, tables: Tables) -> DataFrame:
-    """Driver performance after early, late and corrected laps."""
-    return three_drops(spark, tables).tables["gold_driver_performance"].drop(PROCESSED_AT)
-
-
-def corrected_races(spark: SparkSession, tables: Tables) -> DataFrame:
-    """Race summaries after early, late and corrected laps."""
-    return three_drops(spark, tables).tables["gold_race_summary"].drop(PROCESSED_AT)
+def corrected(spark: SparkSession, tables: Tables) -> DataFrame:
+    """Driver performance, rank, team and race figures after early, late and corrected laps."""
+    stored = three_drops(spark, tables).tables
+    best = stored["gold_fastest_laps"].select(*ENTRY, "rank", "lap_number")
+    team = stored["gold_team_performance"].select("session_key", "team_name", "drivers_count", "team_fastest_lap", "team_avg_lap_time")
+    race = stored["gold_race_summary"].select(
+        "session_key", F.col("total_laps").alias("race_laps"), "fastest_lap", "total_pit_stops", "yellow_flags", "avg_track_temp"
+    )
+    made = stored["gold_overtakes_analysis"].groupBy(*ENTRY).agg(F.sum("overtakes_made").alias("overtakes_made"))
+    answer = stored["gold_driver_performance"].drop(PROCESSED_AT).join(best, ENTRY).join(team, ["session_key", "team_name"])
+    return answer.join(race, "session_key", "left").join(made, ENTRY, "left")
 
 
 def refreshed_counts(spark: SparkSession, tables: Tables) -> DataFrame:

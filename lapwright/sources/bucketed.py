@@ -6,7 +6,6 @@ import json
 import time
 from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import asdict, dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +13,7 @@ from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
 from lapwright.sources import files
 
-BUCKET, KEPT = "_bucket", "_kept"
+BUCKET, KEPT, WRITE = "_bucket", "_kept", "_write"
 BUCKETS = 64
 
 
@@ -72,8 +71,12 @@ class BucketedTables(Mapping):
         return Manifest(**json.loads(files.read_text(self.spark, at)))
 
     def next_version(self, name: str) -> int:
-        tried = [n for n in files.child_names(self.spark, f"{self.root}/{name}") if n.startswith("data-")]
-        return max([*self.versions(name), *(int(n[5:]) for n in tried)], default=0) + 1
+        return max([*self.versions(name), *self._writes(name)], default=0) + 1
+
+    def _writes(self, name: str) -> list[int]:
+        """Numbers of the folders of files, complete or not."""
+        found = files.child_names(self.spark, f"{self.root}/{name}")
+        return sorted(int(n.partition("=")[2]) for n in found if n.startswith(f"{WRITE}="))
 
     def write(
         self,
@@ -92,7 +95,7 @@ class BucketedTables(Mapping):
         """
         before = self.manifest(name)
         version = self.next_version(name)
-        folder = f"{self.root}/{name}/data-{version}"
+        folder = f"{self.root}/{name}/{WRITE}={version}"
         split = KEPT in df.columns
         parts = [BUCKET, KEPT] if split else [BUCKET]
         rows = df.hint("rebalance", BUCKET).sortWithinPartitions(*parts, *layout)
@@ -106,7 +109,7 @@ class BucketedTables(Mapping):
             sets[str(b)] = [*sets.get(str(b), []), version]
         counts = {} if whole else {b: dict(c) for b, c in before.counts.items() if b in sets and (add or int(b) not in set(buckets))}
         if count and written:
-            new = self._read(folder, [folder], schema, split, None).groupBy(BUCKET).agg(*[c.alias(n) for n, c in count.items()])
+            new = self._read(name, [folder], schema, split, None).groupBy(BUCKET).agg(*[c.alias(n) for n, c in count.items()])
             for r in new.collect():  # one row per bucket
                 old = counts.get(str(r[BUCKET]), {}) if add else {}
                 counts[str(r[BUCKET])] = {n: r[n] + old.get(n, 0) for n in count}
@@ -123,12 +126,12 @@ class BucketedTables(Mapping):
         files.write_text(self.spark, f"{self.root}/{name}/manifest-{made.version}.json", json.dumps(asdict(made)))
         return made
 
-    def _read(self, base: str, paths: list[str], schema: StructType, split: bool, kept: bool | None) -> DataFrame:
-        more = [StructField(BUCKET, IntegerType()), *([StructField(KEPT, BooleanType())] if split else [])]
+    def _read(self, name: str, paths: list[str], schema: StructType, split: bool, kept: bool | None) -> DataFrame:
+        more = [StructField(WRITE, IntegerType()), StructField(BUCKET, IntegerType()), *([StructField(KEPT, BooleanType())] if split else [])]
         full = StructType([*schema, *more])
         if not paths:
-            return self.spark.createDataFrame([], full)
-        rows = self.spark.read.schema(full).option("basePath", base).parquet(*paths)
+            return self.spark.createDataFrame([], full).drop(WRITE)
+        rows = self.spark.read.schema(full).option("basePath", f"{self.root}/{name}").parquet(*paths).drop(WRITE)
         return rows.where(F.col(KEPT) == kept) if split and kept is not None else rows
 
     def rows(
@@ -143,16 +146,12 @@ class BucketedTables(Mapping):
         for b in sorted(wanted, key=int):
             for number in made.sets[b]:
                 by_write.setdefault(number, []).append(b)
-        schema = StructType.fromJson(json.loads(made.schema))
-        frames = []
+        paths = []
         for number, alive in sorted(by_write.items()):
-            base = f"{self.root}/{name}/data-{number}"
+            base = f"{self.root}/{name}/{WRITE}={number}"
             there = {n.partition("=")[2] for n in files.child_names(self.spark, base) if n.startswith(f"{BUCKET}=")}
-            paths = [base] if there == set(alive) else [f"{base}/{BUCKET}={b}" for b in alive]
-            frames.append(self._read(base, paths, schema, made.split, kept))
-        if not frames:
-            return self._read("", [], schema, made.split, kept)
-        return reduce(DataFrame.unionByName, frames)
+            paths += [base] if there == set(alive) else [f"{base}/{BUCKET}={b}" for b in alive]
+        return self._read(name, paths, StructType.fromJson(json.loads(made.schema)), made.split, kept)
 
     def changed_buckets(self, name: str, since: int) -> set[int] | None:
         """Buckets that differ between an earlier version and the newest; None if that version is gone or was replaced as a whole."""
@@ -169,10 +168,10 @@ class BucketedTables(Mapping):
             used |= {(number, b) for b, s in self.manifest(name, version).sets.items() for number in s}
         for version in known[:-keep]:
             files.delete(self.spark, f"{self.root}/{name}/manifest-{version}.json")
-        for folder in files.child_names(self.spark, f"{self.root}/{name}"):
-            if not folder.startswith("data-") or int(folder[5:]) > known[-1]:
+        for number in self._writes(name):
+            if number > known[-1]:
                 continue
-            number, at = int(folder[5:]), f"{self.root}/{name}/{folder}"
+            at = f"{self.root}/{name}/{WRITE}={number}"
             if number not in {n for n, _ in used}:
                 files.delete(self.spark, at)
                 continue

@@ -679,8 +679,18 @@ CTE["raw_more_laps"] = """
 select * from raw_laps
 union all select * replace (lap_duration - 1 as lap_duration) from raw_laps where lap_number % 7 = 3"""
 CTE["corrected_laps"] = CTE["silver_laps"].replace("raw_laps", "raw_more_laps")
-Q["cascade_corrected"] = CTE["gold_driver_performance"].replace("silver_laps", "corrected_laps")
-Q["cascade_corrected_races"] = CTE["gold_race_summary"].replace("silver_laps", "corrected_laps")
+for _name in ("driver_performance", "fastest_laps", "team_performance", "race_summary"):
+    _sql = CTE[f"gold_{_name}"].replace("silver_laps", "corrected_laps")
+    CTE[f"corrected_{_name}"] = _sql.replace("gold_driver_performance", "corrected_driver_performance")
+Q["cascade_corrected"] = """
+select p.*, f.rank, f.lap_number, t.drivers_count, t.team_fastest_lap, t.team_avg_lap_time, r.total_laps as race_laps,
+  r.fastest_lap, r.total_pit_stops, r.yellow_flags, r.avg_track_temp, o.overtakes_made
+from corrected_driver_performance p
+join corrected_fastest_laps f on f.session_key = p.session_key and f.driver_number = p.driver_number
+join corrected_team_performance t on t.session_key = p.session_key and t.team_name = p.team_name
+left join corrected_race_summary r on r.session_key = p.session_key
+left join (select session_key, driver_number, cast(sum(overtakes_made) as bigint) as overtakes_made
+  from gold_overtakes_analysis group by all) o on o.session_key = p.session_key and o.driver_number = p.driver_number"""
 
 _RULES = {
     "meetings": (("valid_meeting_key", "meeting_key is not null"), ("valid_year", "year >= 2018 and year <= 2030")),
