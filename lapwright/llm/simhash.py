@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import word_sets
 from .common import identity, on_identity, slices, stored, table
 from .components import components
 
@@ -136,13 +137,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return placed.join(smallest, F.col("root") == F.col("r")).select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
+def _placed_with_sets(rows: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """fp, and `root` of the components of both kinds of links: near fingerprints, and similar sets of word runs."""
+    both = stored(fingerprints(word_sets.signatures(rows)))
+    # Everything in terms of nodes: a fingerprint is stood for by the smallest of its nodes.
+    prints = stored(both.groupBy("fp").agg(F.min("node").alias("first")))
+    same = both.select("fp", "node").distinct().join(prints, "fp").select(F.col("first").alias("u"), F.col("node").alias("v"))
+    a, b = (prints.toDF(f"{x} fp", x) for x in ("u", "v"))
+    near = links(prints, radius).toDF("a", "b")
+    near = near.join(a, F.col("a") == F.col("u fp")).join(b, F.col("b") == F.col("v fp")).select("u", "v")
+    similar = word_sets.links(rows, both, similarity)
+    roots = stored(components(same.unionByName(near).unionByName(similar))).toDF("of", "root")
+    placed = both.drop("bands", "minima").join(roots, F.col("node") == F.col("of"), "left")
+    return placed.withColumn("root", F.coalesce("root", "node")).drop("of", "node")
+
+
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, similarity: float | None = None
+) -> DataFrame:
     """One row of every component, with all its columns: that with the smallest id, null ids last.
 
-    Among rows with that id the text hashes decide; rows equal in id and text are one document, of which any row stays.
+    With `similarity`, texts whose sets of five-word runs have that Jaccard similarity are linked, too. Among rows with that id the text hashes decide; rows equal in id and text are one document, of which any row stays.
     """
     rows = docs.select(*identity(id_col, text_col), F.col(text_col).alias("text"))
-    placed = _placed(stored(fingerprints(rows)), radius)
+    placed = _placed(stored(fingerprints(rows)), radius) if similarity is None else _placed_with_sets(rows, radius, similarity)
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("doc_id"), F.col("h1").alias("h1"), F.col("h2").alias("h2"))
     chosen = placed.groupBy("root").agg(F.min(order).alias("k"))
     copies = placed.groupBy("doc_id", "h1", "h2").agg(F.count("*").alias("n"))
