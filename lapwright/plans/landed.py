@@ -176,7 +176,7 @@ def data_files(spark: SparkSession, tables: Tables) -> DataFrame:
 def saved_answer(spark: SparkSession, tables: Tables) -> DataFrame:
     """An answer kept as a catalog table, listed there, and read back by name: its ten first rows by key."""
     name = "kept_driver_performance"
-    save_as_table(tables["gold_driver_performance"], name)
+    save_as_table(tables["gold_driver_performance"], name, f"{home(spark)}/{name}")
     if name not in list_tables(spark):
         raise LookupError(name)
     columns = ["session_key", "driver_number", "total_laps", "fastest_lap_time"]

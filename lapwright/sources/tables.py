@@ -102,9 +102,12 @@ def register(tables: Mapping[str, DataFrame], names: list[str] | None = None) ->
     return chosen
 
 
-def save_as_table(df: DataFrame, name: str) -> None:
-    """Keep an answer as a catalog table, replacing an earlier one."""
-    df.write.mode("overwrite").saveAsTable(name)
+def save_as_table(df: DataFrame, name: str, location: str | None = None) -> None:
+    """Keep an answer as a catalog table, replacing an earlier one; its files go to ``location`` if one is given."""
+    writer = df.write.mode("overwrite")
+    if location:
+        writer = writer.option("path", location)
+    writer.saveAsTable(name)
 
 
 def table(spark: SparkSession, name: str) -> DataFrame:

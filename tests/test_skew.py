@@ -79,7 +79,7 @@ def test_median_of_a_hot_circuit_is_exact(spark, skewed):
     want = laps.groupBy("location").agg(
         F.median("lap_duration").alias("m"), F.stddev("lap_duration").alias("s"), F.count("*").alias("n"))
     for r in want.collect():
-        assert (got[r.location].median_lap, got[r.location].total_laps) == (round(r.m, 6), r.n)
+        assert got[r.location].total_laps == r.n and abs(got[r.location].median_lap - r.m) < 1e-9
         assert abs(got[r.location].lap_consistency - r.s) < 1e-5
 
 
