@@ -34,7 +34,7 @@ def test_steps_hold_about_as_many_rows(spark):
 def test_a_filter_on_any_column_skips_most_files(spark, tmp_path):
     base = spark.range(0, 60_000, 1, 4)
     df = base.selectExpr("cast(pmod(hash(id), 100) as int) as session_key", "cast(pmod(hash(id, 1), 20) as int) as driver_number", "id")
-    z_ordered(df, ["session_key", "driver_number"], 64).write.parquet(f"{tmp_path}/z")
+    z_ordered(df, ["session_key", "driver_number"], 128).write.parquet(f"{tmp_path}/z")
     back = spark.read.parquet(f"{tmp_path}/z")
     assert back.count() == 60_000 and back.columns == df.columns
     groups = [
