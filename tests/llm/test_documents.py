@@ -18,7 +18,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_queries_equal_their_sql(spark, name):
     db = duckdb.connect()
-    for t in ("documents", "benchmark", "pages", "labels"):
+    for t in ("documents", "benchmark", "pages", "labels", "embeddings"):
         db.execute(f"create view {t} as select * from '{SMALL}/{t}.parquet'")
     expected = db.sql(registry.oracle_sql()[name])
     columns = sorted(expected.columns)
