@@ -1,7 +1,7 @@
 """Operator 8: main text of web pages.
 
-A page is read as blocks of tokens. Blocks of menus, headers, footers, sidebars, notices, adverts, forms and comments
-are never text. All others are judged by the other pages of their host, those inside an article or main element too:
+A page is read as blocks of tokens (see `page_blocks`). Blocks of menus, headers, footers, sidebars, notices, adverts, forms
+and comments are never text. All others are judged by the other pages of their host, those inside an article or main element too:
 the runs of such blocks, with an element for every block end, are sequences whose suffixes are sorted by prefix doubling
 (see `line_dedup.suffix_ranks`), and a stretch of `REPEATED` elements is boilerplate if a share of the host's pages has it.
 Pages with the same text count once, so copies of a page do not vanish. What an article or main element encloses is
@@ -13,8 +13,6 @@ buckets of its host, and the number of pages in a bucket is at least that of eac
 
 from __future__ import annotations
 
-import html as entities
-import re
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,6 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import discard, slices, stored, table
 from .line_dedup import suffix_ranks
+from .page_blocks import ARTICLE_ZONE, CHROME_ZONE, OPEN_ZONE, read_blocks
 
 REPEATED = 6  # elements in a row, tokens and block ends, that make boilerplate if enough pages of the host have them
 LEAST = 3  # so many different pages at least,
@@ -36,86 +35,8 @@ SHARE, ARTICLE_SHARE = 0.25, 0.5  # and such a share of the host's different pag
 BUCKETS, PARTS = 1 << 14, 16
 HOSTS = 128  # whose buckets a task holds at a time
 
-CHROME_ZONE, OPEN_ZONE, ARTICLE_ZONE = range(3)
 END = 1  # stands for the end of a block among the numbers of tokens
 
-MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S
-)
-NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-
-RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "title", "svg", "math", "object"}
-ENDS = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
-CHROME = {"nav", "header", "footer", "aside", "form", "dialog", "menu", "button", "select", "head"}
-MAIN = {"article", "main"}
-INLINE = set(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong"
-    " sub sup time tt u var wbr".split()
-)
-VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-# Elements whose end can be left out; they never bound a region.
-LOOSE = set("p li dt dd tr td th thead tbody tfoot option colgroup rt rp html body".split())
-# A class, id or role one of whose parts is such a word marks a region that is not text.
-MARKS = set(
-    "ad ads advert adverts advertisement advertising sponsor sponsored banner promo cookie cookies consent gdpr notice"
-    " popup modal overlay newsletter subscribe signup comment comments disqus reply replies respond sidebar nav navbar"
-    " navigation menu breadcrumb breadcrumbs header masthead footer share sharing social related widget pagination"
-    " search complementary contentinfo".split()
-)
-
-
-def raw_end(page: str, name: str, at: int) -> int:
-    """Where markup goes on after a start tag of RAW that ends at `at`: at the element's own end tag, or nowhere."""
-    end = ENDS[name].search(page, at)
-    return end.start() if end else len(page)
-
-
-def read_blocks(page: str) -> tuple[bool, list[tuple[int, list[str]]]]:
-    """Whether the page has an article, and its blocks with their zone, in order."""
-    blocks: list[tuple[int, list[str]]] = []
-    open_: list[tuple[str, bool, bool]] = []  # name, starts chrome, starts an article
-    chrome = article = 0
-    found, block, at = False, [], 0
-
-    def end_block() -> None:
-        tokens = "".join(block).split()
-        block.clear()
-        if tokens:
-            blocks.append((CHROME_ZONE if chrome else ARTICLE_ZONE if article else OPEN_ZONE, tokens))
-
-    while tag := MARKUP.search(page, at):
-        if tag.start() > at:
-            block.append(entities.unescape(page[at : tag.start()]))
-        at = tag.end()
-        name = (tag[2] or "").lower()
-        if not name or name in INLINE:
-            continue
-        if name == "br":
-            block.append(" ")
-            continue
-        end_block()
-        if name in RAW:
-            if not tag[1] and not tag[3].rstrip().endswith("/"):
-                at = raw_end(page, name, at)
-        elif name in VOID or name in LOOSE:
-            continue
-        elif not tag[1]:
-            parts = re.split(r"[^a-z]+", " ".join("".join(m) for m in NAMES.findall(tag[3])).lower()) if tag[3] else ()
-            is_chrome, is_main = name in CHROME or not MARKS.isdisjoint(parts), name in MAIN or "main" in parts and "role" in tag[3]
-            is_main = is_main and not is_chrome
-            found = found or is_main
-            open_.append((name, is_chrome, is_main))
-            chrome, article = chrome + is_chrome, article + is_main
-        elif any(o[0] == name for o in open_):
-            while open_:
-                last, was_chrome, was_main = open_.pop()
-                chrome, article = chrome - was_chrome, article - was_main
-                if last == name:
-                    break
-    block.append(entities.unescape(page[at:]))
-    end_block()
-    return found, blocks
-
 
 def read_page(page: str) -> tuple[str | None, list[tuple[str, bool]]]:
     """The text inside articles (None if the page has no article), and the tokens outside with whether they may be text."""
@@ -306,7 +227,7 @@ def extract(
 
     A null or empty html has an empty text, and a page keeps what is neither chrome nor repeated on its host; a null url
     is a host of its own kind, shared by all such pages. Rows with equal host and html get the same text and count as one
-    page. Columns that are not named are not read. An empty table gives an empty result.
+    page. Very long pages are read whole, in time linear in their length. Columns that are not named are not read. An empty table gives an empty result.
     """
     address = F.lower(F.coalesce(F.col(url_col), F.lit("")))
     host = F.regexp_extract(address, r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
