@@ -1,5 +1,6 @@
 from lapwright.operators.conform import conform
 from lapwright.operators.dedupe import keep_first
+from lapwright.operators.heavy_join import heavy_keys, join_heavy, join_rows
 from lapwright.operators.interval_join import points_in_intervals
 from lapwright.operators.layout import clustered
 from lapwright.operators.quality import broken_rules, dropping_bits, enforce, observed, passes, rule_names, violations
@@ -14,6 +15,9 @@ __all__ = [
     "enforce",
     "exact_quantile",
     "first_n",
+    "heavy_keys",
+    "join_heavy",
+    "join_rows",
     "keep_first",
     "latest_value",
     "observed",

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lapwright.functions import exact_mean, fixed_point, mean_of, session_label
 from lapwright.functions.measures import exact_total
-from lapwright.operators import top_rows
+from lapwright.operators import join_rows, top_rows
 from lapwright.plans.common import ENTRY, RACE_TYPES, Tables, chosen_sessions, entrants, names, null_last, only
 
 _LISTED = ["session_key", "session_name", "location", "date_start", "session_type"]
@@ -247,7 +247,7 @@ def race_pits(tables: Tables, session_key: int | None = None) -> DataFrame:
     """Pit stops of a race by lap."""
     stops = only(tables["silver_pit"], session_key=session_key)
     return (
-        stops.join(names(tables), ENTRY)
+        join_rows(stops, names(tables), ENTRY)
         .orderBy(*_per_race(session_key, "lap_number", "date", "driver_number"))
         .select(
             *_per_race(session_key), F.col("full_name").alias("driver"), "team_name", "lap_number", "pit_duration",
@@ -267,11 +267,11 @@ def race_pit_means(tables: Tables, session_key: int | None = None) -> DataFrame:
     return means.withColumnRenamed("full_name", "driver").orderBy(*_per_race(session_key, "driver", "team_name"))
 
 
-def positions(tables: Tables, session_key: int | None = None) -> DataFrame:
-    """Positions over the time of a race."""
+def positions(tables: Tables, session_key: int | None = None, spread: bool | None = None) -> DataFrame:
+    """Positions over the time of a race; ``spread`` says whether frequent keys are joined in slots."""
     seen = only(tables["silver_position"], session_key=session_key)
     return (
-        seen.join(names(tables), ENTRY)
+        join_rows(seen, names(tables), ENTRY, spread=spread)
         .orderBy(*_per_race(session_key, "date", "position", "driver_number"))
         .select(*_per_race(session_key), F.col("full_name").alias("driver"), "team_name", "date", "position")
     )

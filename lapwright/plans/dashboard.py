@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lapwright.functions import championship_points, mean_of, rain_label, rounded, since_days
 from lapwright.functions.measures import exact_total
-from lapwright.operators import latest_value, top_rows
+from lapwright.operators import join_rows, latest_value, top_rows
 from lapwright.plans.common import ENTRY, RACE_TYPES, Tables, entrants, names, null_last, only
 
 Day = str | dt.date | None
@@ -153,7 +153,7 @@ def incidents(tables: Tables, as_of: Day = None, days: int = 90, limit: int = 10
     ties = ["session_key", "driver_number", "category", "flag", "message", "lap_number"]
     latest = [F.desc("date"), *null_last(*ties)]
     recent = _recent(tables, as_of, days, "location", "session_name")
-    found = top_rows(flagged.join(recent, "session_key"), limit, *latest)
+    found = top_rows(join_rows(flagged, recent, ["session_key"]), limit, *latest)
     return found.join(names(tables), ENTRY, "left").orderBy(*latest).select(
         "location", "session_name", "date", "category", "flag", "message", "lap_number",
         F.col("full_name").alias("driver_affected"),
@@ -163,7 +163,7 @@ def incidents(tables: Tables, as_of: Day = None, days: int = 90, limit: int = 10
 def pit_stops(tables: Tables, as_of: Day = None, days: int = 90, limit: int = 50) -> DataFrame:
     """Quickest pit stops of recent races."""
     races = _recent(tables, as_of, days, "location", "session_name", kinds=RACE_TYPES)
-    stops = tables["silver_pit"].where("pit_duration is not null").join(entrants(tables, races), ENTRY)
+    stops = join_rows(tables["silver_pit"].where("pit_duration is not null"), entrants(tables, races), ENTRY)
     return top_rows(stops, limit, *null_last("pit_duration", "date", *ENTRY)).select(
         "location", "session_name", F.col("full_name").alias("driver"), "team_name", "lap_number",
         _rounded("pit_duration", 2, "pit_duration_seconds"), F.col("date").alias("pit_time"),

@@ -551,6 +551,7 @@ _race(
     + NAMED.format("x")
     + " {where}",
 )
+Q["app_positions_spread"] = Q["app_positions_all"]
 _race(
     "app_race_teams",
     "app_races_teams",
