@@ -67,7 +67,7 @@ def all_tables(bronze: Bronze, stored: BucketedTables) -> LazyTables:
     """Bronze, silver and gold tables under their usual names, read from storage."""
     known = {TABLES[e].bronze: (lambda _t, e=e: bronze[e]) for e in bronze if e in TABLES}
     known.update({n: (lambda _t, n=n: stored[n]) for n in stored})
-    return LazyTables(known)
+    return LazyTables(known, {n: (lambda n=n: stored.records(n)) for n in stored})
 
 
 def _number_of_buckets(spark: SparkSession, root: str, wanted: int) -> int:

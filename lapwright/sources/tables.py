@@ -5,16 +5,25 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lapwright.operators.layout import clustered
 from lapwright.sources import files
 
 
 class LazyTables(Mapping):
-    """Name to DataFrame; a frame is declared the first time it is asked for."""
+    """Name to DataFrame; a frame is declared the first time it is asked for.
 
-    def __init__(self, builders: Mapping[str, Callable[[Mapping[str, DataFrame]], DataFrame]]):
+    ``counters`` give the number of records of tables that need not be read for it.
+    """
+
+    def __init__(
+        self,
+        builders: Mapping[str, Callable[[Mapping[str, DataFrame]], DataFrame]],
+        counters: Mapping[str, Callable[[], DataFrame]] | None = None,
+    ):
         self._builders = dict(builders)
+        self._counters = dict(counters or {})
         self._frames: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -22,6 +31,12 @@ class LazyTables(Mapping):
             self._frames[name] = self._builders[name](self)
         return self._frames[name]
 
+    def records(self, name: str) -> DataFrame:
+        """One row with the number of ``records`` of a table."""
+        if name in self._counters:
+            return self._counters[name]()
+        return self[name].agg(F.count(F.lit(1)).alias("records"))
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._builders)
 

@@ -147,3 +147,26 @@ def test_states_merge_and_take_back(spark, name):
     before, now = (spark.createDataFrame(list(x.values()), ddl).withColumns({"i2_speed": F.lit(1), "st_speed": F.lit(2)}) for x in (old, new))
     got = advanced(kind, kind.of(before), now, now.where("v = 2"), before)
     assert rows(got) == rows(kind.of(now))
+
+
+def test_counts_come_from_file_footers(spark, tmp_path):
+    stored = BucketedTables(spark, str(tmp_path))
+    listed = spark.conf.get("spark.sql.sources.useV1SourceList")
+    frame = lambda *v: spark.createDataFrame([(x, "t", x % 4) for x in v], "a int, b string, _bucket int")
+    stored.write("t", frame(*range(8)))
+    stored.write("t", frame(1, 5, 9), buckets={1})
+    stored.write("t", frame(13, 17), add=True, buckets={1})
+    split = frame(*range(10)).withColumn("_kept", F.col("a") < 7)
+    stored.write("s", split)
+    stored.write("none", frame())
+    for name in ("t", "s", "none"):
+        assert stored.records(name).first().records == stored[name].count()
+    assert rows(stored.records("t", by_bucket=True)) == [(0, 2), (1, 5), (2, 2), (3, 2)]
+    for name in ("t", "s"):
+        plan = stored.records(name)._jdf.queryExecution().executedPlan().toString()
+        assert "PushedAggregation: [COUNT(*)]" in plan and "BatchScan" in plan
+    # Other reads are as before.
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == listed
+    assert "BatchScan" not in stored["t"]._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(KeyError):
+        stored.records("absent")
