@@ -1,7 +1,7 @@
 """Operator 9: a deterministic, sharded WARC writer and a reader that verifies what it reads.
 
-Writing: rows are dealt to shards by ranges of their id. The ranges come from exact counts per id interval, so they, the
-files and every byte in them depend on the rows alone, not on partitions or timing. A task sorts a shard, rolls to a new
+Writing: rows are dealt to shards by ranges of their id, large ids and null ones by ranges of the digest, too. The ranges come from exact counts per id interval, so they, the
+files and every byte in them depend on the rows alone, not on partitions or timing. A task sorts one shard, rolls to a new
 file when the compressed size is reached, and writes each file under a temporary name before renaming it. The manifest,
 one row per file, is written by Spark once all files are in place; the reader opens only files that it lists. A task
 that is repeated after a loss writes the same bytes to the same name.
@@ -51,15 +51,19 @@ def originals(rows: DataFrame, least_bytes: int = 0) -> DataFrame:
     return met.filter("not (page_id <=> first_id) and first_id is not null").select("page_id", "digest", "first_id").distinct()
 
 
-def shard_starts(sizes: DataFrame, shard_bytes: int) -> list[int]:
-    """Smallest ids of the shards but the first: intervals of ids with their bytes, split further where one is too large.
+def id_ranges(sizes: DataFrame, shard_bytes: int) -> tuple[list[int], dict[int, int], int]:
+    """Smallest ids of the ranges but the first, the parts of ids that are too large for a shard, and those of null ids.
 
-    `sizes` has page_id and size. At most INTERVALS sums at a time come to the driver.
+    Intervals of ids with their bytes are split further where one is too large; an id that is too large by itself is
+    a range of its own. `sizes` has page_id and size. At most INTERVALS sums at a time come to the driver.
     """
-    low, high = sizes.agg(F.min("page_id"), F.max("page_id")).first()
+    without = F.coalesce(F.sum(F.when(F.col("page_id").isNull(), F.col("size"))), F.lit(0))
+    low, high, null_bytes = sizes.agg(F.min("page_id"), F.max("page_id"), without).first()
     starts: list[int] = []
+    parts: dict[int, int] = {}
+    null_parts = max(1, -(-null_bytes // shard_bytes))
     if low is None:
-        return starts
+        return starts, parts, null_parts
 
     def divide(low: int, high: int, filled: int) -> int:
         width = max(1, -(-(high - low + 1) // INTERVALS))
@@ -73,11 +77,37 @@ def shard_starts(sizes: DataFrame, shard_bytes: int) -> list[int]:
             if filled and filled + size > shard_bytes:
                 starts.append(begin)
                 filled = 0
+            if size > shard_bytes:
+                parts[begin] = -(-size // shard_bytes)
             filled += size
         return filled
 
     divide(low, high, 0)
-    return starts
+    return starts, parts, null_parts
+
+
+def with_shards(rows: DataFrame, sizes: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
+    """Add `shard` to rows with page_id and digest, and tell how many shards there are.
+
+    A shard is a range of ids, or a range of digests of one id, or of null ids, that is too large for a shard.
+    """
+    starts, parts, null_parts = id_ranges(sizes, shard_bytes)
+    edges = np.array(starts, dtype=np.int64)  # twenty bytes per range
+    many = np.ones(len(edges) + 1, dtype=np.int32)
+    for page_id, n in parts.items():
+        many[np.searchsorted(edges, page_id, side="right")] = n
+    first = np.concatenate([[0], np.cumsum(many, dtype=np.int64)])
+    of_null = int(first[-1])
+
+    @F.pandas_udf("int")
+    def shard(ids: pd.Series, points: pd.Series) -> pd.Series:
+        at = np.searchsorted(edges, ids.to_numpy(), side="right")
+        return pd.Series(first[at] + (points.to_numpy() * many[at] >> 32))
+
+    point = F.conv(F.substring("digest", 1, 8), 16, 10).cast("long")  # of 2^32
+    nulls = F.lit(of_null) + F.shiftright(point * null_parts, 32).cast("int")
+    known = shard(F.coalesce("page_id", F.lit(0)), point)
+    return rows.withColumn("shard", F.when(F.col("page_id").isNull(), nulls).otherwise(known)), of_null + null_parts
 
 
 def _header(fields: list[tuple[str, object]]) -> bytes:
@@ -150,7 +180,9 @@ def write(
 
     A null html is an empty payload. Rows with a null id come last and can be originals only among themselves; a row
     whose id equals that of its original is a response too, so repeated rows are all written. An empty table gives an
-    empty manifest. Columns other than the three named are not read.
+    empty manifest. Columns other than the three named are not read. Rows of one id, or without id, that are too many for
+    a shard are divided by their digest; only copies of one payload under one id stay together. A very long payload is
+    written whole, to a shard of its own.
     """
     spark = pages.sparkSession
     root = root if "://" in root or root.startswith("file:") else f"file://{root}"
@@ -161,25 +193,15 @@ def write(
         F.coalesce(F.col(html_col), F.lit("")).alias("html"),
     )
     rows = rows.withColumn("digest", F.sha2(F.col("html").cast("binary"), 256))
-    starts = shard_starts(rows.select("page_id", F.octet_length("html").alias("size")), shard_bytes)
-    last = len(starts) + 1  # shard of null ids
-
-    edges = np.array(starts, dtype=np.int64)  # eight bytes per shard
-
-    @F.pandas_udf("int")
-    def shard(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(edges, ids.to_numpy(), side="right"))
-
     # What a payload repeats travels as a row of its own and is sorted to the front of its page, so that pages are
     # shuffled once, to their shards.
     refers = originals(rows.withColumn("size", F.octet_length("html")), least_bytes)
     both = rows.select("page_id", "url", "html", "digest", F.lit(None).cast("long").alias("first_id")).unionByName(
         refers.select("page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "digest", "first_id")
     )
-    dealt = (
-        both.withColumn("shard", F.when(F.col("page_id").isNull(), F.lit(last)).otherwise(shard(F.coalesce("page_id", F.lit(0)))))
-        .repartition(last + 1, "shard")
-        .sortWithinPartitions("shard", "page_id", "digest", F.col("first_id").asc_nulls_last(), "url")
+    placed, shards = with_shards(both, rows.select("page_id", F.octet_length("html").alias("size")), shard_bytes)
+    dealt = placed.repartitionById(shards, F.col("shard")).sortWithinPartitions(
+        "shard", "page_id", "digest", F.col("first_id").asc_nulls_last(), "url"
     )
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

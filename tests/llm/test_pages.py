@@ -57,6 +57,22 @@ def test_files_do_not_depend_on_partitions(spark):
     assert warc.read(spark, root).count() == 0
 
 
+def test_hot_ids_and_null_ids_are_divided(spark):
+    rows = [(7 if k % 3 == 0 else None if k % 3 == 1 else k, f"u{k}", f"<p>{k} {'x' * 90}</p>") for k in range(3000)]
+    pages = spark.createDataFrame([(*r, "a", "b") for r in rows], PAGES)
+    small = pages.selectExpr("page_id", "sha2(html, 256) digest", "octet_length(html) size", "html")
+    placed, shards = warc.with_shards(small, small, 10_000)
+    dealt = placed.repartitionById(shards, F.col("shard")).withColumn("task", F.spark_partition_id())
+    per_task = dealt.groupBy("task").agg(F.sum("size").alias("bytes"), F.count_distinct("shard").alias("shards")).collect()
+    assert shards > 30 and max(r.bytes for r in per_task) < 20_000 and {r.shards for r in per_task} == {1}
+    root = scratch(spark)
+    warc.write(pages, root, shard_bytes=10_000)
+    back = warc.read(spark, root).collect()
+    key = lambda r: (r[0] is None, r[0], r[1])
+    got = [(r.page_id, r.url, bytes(r.payload).decode(), r.record_type) for r in back]
+    assert sorted(got, key=key) == sorted([(*r, "response") for r in rows], key=key)
+
+
 def test_least_bytes_leaves_short_payloads_alone(spark):
     root = scratch(spark)
     warc.write(_pages(spark), root, least_bytes=12)
