@@ -2,8 +2,8 @@
 
 Each measure of a document is a whole number. A group's sketch is the number of its documents per step of a scale that
 is exact below 16 and has 16 steps per doubling above, so a quantile is off by a sixteenth at most. Sketches of two sets
-are merged by adding counts: Spark builds them with partial sums per task, and a source with few documents uses the
-merged sketch of its language, or of everything.
+are merged by adding counts: Spark builds them with partial sums per task. The thresholds of a source come from its own sketch
+and the merged ones of its language and of everything, which weigh the less the more documents the source has.
 """
 
 from __future__ import annotations
@@ -23,15 +23,17 @@ BLANKS, SYMBOLS = " \t\n\v\f\r", "#*$%&|<>"
 WINDOW = 8
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_echoes"]
 
-# measure -> (numerator, factor, denominator, slack): the fences are at 3 interquartile ranges plus the slack.
+# measure -> (numerator, factor, denominator, whether low values are judged, too)
 MEASURES = {
-    "word_length": ("word_chars", 100, "n_words", 50),
-    "symbol_share": ("n_symbols", 10_000, "word_chars", 500),
-    "copied_line_share": ("n_dup_lines", 10_000, "n_lines", 6_000),
-    "echo_share": ("n_echoes", 10_000, "n_words", 1_000),
+    "word_length": ("word_chars", 100, "n_words", True),
+    "symbol_share": ("n_symbols", 10_000, "word_chars", False),
+    "copied_line_share": ("n_dup_lines", 10_000, "n_lines", False),
+    "echo_share": ("n_echoes", 10_000, "n_words", False),
 }
-FENCE = 3
-ENOUGH = 200  # documents that a group needs for thresholds of its own
+LEVELS = {"q10": 10, "q50": 50, "q90": 90}
+REACH = 3  # a fence stands so many spreads beyond the outer quantile
+NOISE = 3.0  # standard deviations of a count that a document is allowed
+WEIGHT = 200  # documents that the wider sketch counts for beside a group's own
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -109,76 +111,107 @@ def sketches(measured: DataFrame, groups: list[str]) -> DataFrame:
     return long.groupBy(*groups, "measure", "step").agg(F.count("*").alias("n"))
 
 
-def quartiles(sketch: DataFrame, groups: list[str]) -> DataFrame:
-    """docs, q1 and q3 per measure and group; each group has a few hundred steps at most, so one task can order them."""
+def levels(sketch: DataFrame, groups: list[str]) -> DataFrame:
+    """docs, the quantiles of LEVELS and the mean distance from the median, per measure and group.
+
+    Each group has a few hundred steps at most, so one task can order them.
+    """
     keys = [*groups, "measure"]
     steps = F.sort_array(F.collect_list(F.struct("step", "n")))
     grouped = sketch.groupBy(*keys).agg(F.sum("n").alias("docs"), steps.alias("steps"))
 
-    def at(q: int) -> Column:
-        """Start of the first step with at least q quarters of the documents at or below it."""
+    def at(percent: int) -> Column:
+        """Start of the first step with at least that percentage of the documents at or below it."""
         walk = F.aggregate(
             "steps",
             F.struct(F.lit(0).cast("long").alias("below"), F.lit(None).cast("long").alias("step")),
             lambda a, s: F.struct(
                 (a["below"] + s["n"]).alias("below"),
-                F.coalesce(a["step"], F.when((a["below"] + s["n"]) * 4 >= F.col("docs") * q, s["step"].cast("long"))).alias("step"),
+                F.coalesce(
+                    a["step"], F.when((a["below"] + s["n"]) * 100 >= F.col("docs") * percent, s["step"].cast("long"))
+                ).alias("step"),
             ),
         )
         return step_start(walk["step"])
 
-    return grouped.select(*keys, "docs", at(1).alias("q1"), at(3).alias("q3"))
+    found = grouped.select(*keys, "docs", "steps", *[at(p).alias(q) for q, p in LEVELS.items()])
+    distance = F.aggregate(
+        "steps", F.lit(0.0), lambda a, s: a + s["n"].cast("double") * F.abs(step_start(s["step"].cast("long")) - F.col("q50"))
+    )
+    return found.select(*keys, "docs", *LEVELS, F.floor(distance / F.col("docs")).cast("long").alias("off"))
+
 
+def fences(measured: DataFrame, weight: int = WEIGHT) -> DataFrame:
+    """Per language and source: low and high fence of every measure.
 
-def fences(measured: DataFrame, enough: int = ENOUGH) -> DataFrame:
-    """Per language and source: low and high fence of every measure."""
+    Quantiles of a source are drawn towards those of its language, and these towards those of all documents, as if the wider set
+    had added `weight` documents. The spread is the distance from the median to the outer quantile or the mean distance from the median,
+    whichever is larger; most documents may share one value. The high fence of a share is never beyond the middle between
+    the median and the whole, so that a source in which many documents are bad still has one. Only word lengths have a low fence.
+    """
+    figures = [*LEVELS, "off"]
     by_source = sketches(measured, ["lang", "source"])
     merged = lambda keys: by_source.groupBy(*keys, "measure", "step").agg(F.sum("n").alias("n"))
-    own = quartiles(by_source, ["lang", "source"])
-    of_lang = quartiles(merged(["lang"]), ["lang"]).select(
-        F.col("lang").alias("l"), F.col("measure").alias("lm"), *[F.col(c).alias(f"l_{c}") for c in ("docs", "q1", "q3")]
+    own = levels(by_source, ["lang", "source"])
+    of_lang = levels(merged(["lang"]), ["lang"]).select(
+        F.col("lang").alias("l"), F.col("measure").alias("lm"), *[F.col(c).alias(f"l_{c}") for c in ("docs", *figures)]
     )
-    of_all = quartiles(merged([]), []).select(F.col("measure").alias("am"), F.col("q1").alias("a_q1"), F.col("q3").alias("a_q3"))
+    of_all = levels(merged([]), []).select(F.col("measure").alias("am"), *[F.col(c).alias(f"a_{c}") for c in figures])
     joined = own.join(of_lang, own["lang"].eqNullSafe(of_lang["l"]) & (own["measure"] == of_lang["lm"])).join(
         of_all, own["measure"] == of_all["am"]
     )
-    pick = lambda c: (
-        F.when(F.col("docs") >= enough, F.col(c)).when(F.col("l_docs") >= enough, F.col(f"l_{c}")).otherwise(F.col(f"a_{c}"))
-    )
-    slack = F.element_at(F.create_map(*[F.lit(x) for m, v in MEASURES.items() for x in (m, v[3])]), F.col("measure"))
-    reach = FENCE * (pick("q3") - pick("q1")) + slack
+
+    def drawn(docs: str, figure: str, towards: str) -> Column:
+        n = F.col(docs).cast("double")
+        return F.floor((n * F.col(figure) + weight * F.col(towards)) / (n + weight)).cast("long")
+
+    of_language = joined.withColumns({f"l_{c}": drawn("l_docs", f"l_{c}", f"a_{c}") for c in figures})
+    final = of_language.withColumns({c: drawn("docs", c, f"l_{c}") for c in figures})
+    both_sides = F.col("measure").isin([m for m, v in MEASURES.items() if v[3]])
+    high = F.col("q90") + REACH * F.greatest(F.col("q90") - F.col("q50"), F.col("off"))
+    low = F.col("q10") - REACH * F.greatest(F.col("q50") - F.col("q10"), F.col("off"))
+    bound = F.expr("(q50 + 10000) div 2")
     return (
-        joined.select("lang", "source", "measure", (pick("q1") - reach).alias("low"), (pick("q3") + reach).alias("high"))
+        final.select(
+            "lang", "source", "measure", F.when(both_sides, low).alias("low"),
+            F.when(both_sides, high).otherwise(F.least(high, bound)).alias("high"),
+        )
         .groupBy("lang", "source")
         .agg(F.map_from_entries(F.collect_list(F.struct("measure", F.struct("low", "high")))).alias("fence"))
     )
 
 
+def outside(measure: str) -> Column:
+    """Whether a document's count is beyond a fence by more than the noise of a count of that size."""
+    count, factor, size, _ = MEASURES[measure]
+    n, slack = F.col(count).cast("double"), NOISE * F.sqrt(F.col(count).cast("double"))
+    at = lambda side: F.col("fence")[measure][side] * F.col(size).cast("double") / float(factor)
+    return (F.col(size) > 0) & ((n - slack > at("high")) | F.coalesce(n + slack < at("low"), F.lit(False)))
+
+
 def judge(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
-    enough: int = ENOUGH,
+    weight: int = WEIGHT,
 ) -> DataFrame:
     """Per row: the counts, `base_failed`, the measures, `failed` (names of measures outside their fences) and `kept`.
 
-    A null text has no words and fails the base rules. A null language or source is a group of its own. Repeated rows
+    A document is judged by the end of its count's range of noise that lies nearer to the group, so one symbol or one copied
+    line never decides. Very long texts are counted whole. A null text has no words and fails the base rules. A null language or source is a group of its own. Repeated rows
     are judged, and counted in the sketches, one by one. Other columns of the input are not read. An empty table gives an
     empty result.
     """
     counts = counted(docs, id_col, text_col, lang_col, source_col)
     ratio = lambda a, f, b: F.expr(f"case when {b} = 0 then 0 else ({f} * {a}) div {b} end")
     measured = stored(counts.withColumns({m: ratio(*v[:3]) for m, v in MEASURES.items()}))
-    limits = fences(measured, enough)
+    limits = fences(measured, weight)
     met = measured.join(
         limits.select(F.col("lang").alias("l"), F.col("source").alias("s"), "fence"),
         measured["lang"].eqNullSafe(F.col("l")) & measured["source"].eqNullSafe(F.col("s")),
     ).drop("l", "s")
-    outside = [
-        F.when(~F.col(m).between(F.col("fence")[m]["low"], F.col("fence")[m]["high"]), F.lit(m)) for m in MEASURES
-    ]
     base = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return (
         met.withColumn("base_failed", base)
-        .withColumn("failed", F.concat_ws(",", *outside))
+        .withColumn("failed", F.concat_ws(",", *[F.when(outside(m), F.lit(m)) for m in MEASURES]))
         .withColumn("kept", ~F.col("base_failed") & (F.col("failed") == ""))
         .drop("fence")
     )

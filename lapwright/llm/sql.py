@@ -37,39 +37,45 @@ select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(n_hit, 0) as
 from d left join places using (r) left join items using (r)
 """
 
+# name, when it is zero, value, count, factor, size
 _MEASURES = (
-    ("word_length", "n_words = 0", "100 * word_chars // n_words", 50),
-    ("symbol_share", "word_chars = 0", "10000 * n_symbols // word_chars", 500),
-    ("copied_line_share", "n_lines = 0", "10000 * n_dup_lines // n_lines", 6000),
-    ("echo_share", "n_words = 0", "10000 * n_echoes // n_words", 1000),
+    ("word_length", "n_words = 0", "100 * word_chars // n_words", "word_chars", 100, "n_words"),
+    ("symbol_share", "word_chars = 0", "10000 * n_symbols // word_chars", "n_symbols", 10000, "word_chars"),
+    ("copied_line_share", "n_lines = 0", "10000 * n_dup_lines // n_lines", "n_dup_lines", 10000, "n_lines"),
+    ("echo_share", "n_words = 0", "10000 * n_echoes // n_words", "n_echoes", 10000, "n_words"),
 )
 
 
 def quality_rules() -> str:
-    values = ", ".join(f"case when {zero} then 0 else {value} end as {m}" for m, zero, value, _ in _MEASURES)
+    values = ", ".join(f"case when {zero} then 0 else {value} end as {m}" for m, zero, value, *_ in _MEASURES)
     long = " union all ".join(
-        f"select r, lang, source, '{m}' as measure, {m} as v, {slack} as slack from measured" for m, _, _, slack in _MEASURES
+        f"select r, lang, source, '{m}' as measure, {m} as v, cast({count} as double) as n, cast({size} as double) / {factor} as size from measured"
+        for m, _, _, count, factor, size in _MEASURES
     )
+    figures = ("q10", "q50", "q90", "off")
+
+    def level(name: str, *keys: str) -> str:
+        by = "".join(f"{k}, " for k in keys)
+        same = "".join(f"q.{k} is not distinct from s.{k} and " for k in keys)
+        return f"""{name}_steps as (
+  select {by}measure, step, count(*) as n,
+         case when step < 32 then step else (step % 16 + 16) * cast(pow(2, step // 16 - 1) as bigint) end as start
+  from steps group by {by}measure, step
+), {name}_q as (
+  select {by}measure, max(total) as docs, min(start) filter (where below * 100 >= total * 10) as q10,
+         min(start) filter (where below * 100 >= total * 50) as q50, min(start) filter (where below * 100 >= total * 90) as q90
+  from (select *, sum(n) over (partition by {by}measure order by step) as below, sum(n) over (partition by {by}measure) as total
+        from {name}_steps)
+  group by {by}measure
+), {name} as (
+  select q.*, f.off from {name}_q q join (
+    select {"".join(f"q.{k}, " for k in keys)}q.measure, floor(sum(cast(s.n as double) * abs(s.start - q.q50)) / max(q.docs)) as off
+    from {name}_q q join {name}_steps s on {same}q.measure = s.measure group by {"".join(f"q.{k}, " for k in keys)}q.measure
+  ) f on {"".join(f"q.{k} is not distinct from f.{k} and " for k in keys)}q.measure = f.measure)"""
+
+    def drawn(of: str, towards: str) -> str:
+        return ", ".join(f"floor(({of}.docs * cast({of}.{c} as double) + 200 * {towards}.{c}) / ({of}.docs + 200)) as {c}" for c in figures)
 
-    def quarter(keys: str, q: int) -> str:
-        within = f"partition by {keys}measure"
-        return f"(sum(n) over ({within} order by step) * 4 >= {q} * sum(n) over ({within}))"
-
-    def level(name: str, keys: str, by: str) -> str:
-        group = f"group by {by}measure"
-        return f"""{name} as (
-  select {by}measure, any_value(docs) as docs, min(step) filter (where at1) as s1, min(step) filter (where at3) as s3 from (
-    select {by}measure, step, sum(n) over (partition by {by}measure) as docs,
-           {quarter(by, 1)} as at1, {quarter(by, 3)} as at3
-    from (select {by}measure, step, count(*) as n from steps group by {by}measure, step))
-  {group})"""
-
-    start = lambda s: (
-        f"(case when {s} < 32 then {s} else ({s} % 16 + 16) * cast(pow(2, {s} // 16 - 1) as bigint) end)"
-    )
-    pick = lambda c: (
-        f"case when o.docs >= 200 then {start('o.' + c)} when l.docs >= 200 then {start('l.' + c)} else {start('a.' + c)} end"
-    )
     return rf"""
 with base as (
   select row_number() over () as r, doc_id, lang, source, coalesce(text, '') as t,
@@ -96,18 +102,23 @@ long as ({long}),
 steps as (
   select *, case when v < 16 then v else (length(bin(v)) - 4) * 16 + (v >> (length(bin(v)) - 5)) - 16 end as step from long
 ),
-{level("own", "lang, source, ", "lang, source, ")},
-{level("by_lang", "lang, ", "lang, ")},
-{level("by_all", "", "")},
-quartile as (
-  select o.lang, o.source, o.measure, {pick("s1")} as q1, {pick("s3")} as q3
-  from own o join by_lang l on o.lang is not distinct from l.lang and o.measure = l.measure
-  join by_all a on o.measure = a.measure
+{level("own", "lang", "source")},
+{level("by_lang", "lang")},
+{level("by_all")},
+language as (select l.lang, l.measure, {drawn("l", "a")} from by_lang l join by_all a on l.measure = a.measure),
+final as (
+  select o.lang, o.source, o.measure, {drawn("o", "l")}
+  from own o join language l on o.lang is not distinct from l.lang and o.measure = l.measure
+), fence as (
+  select lang, source, measure, case when measure = 'word_length' then q10 - 3 * greatest(q50 - q10, off) end as low,
+         case when measure = 'word_length' then q90 + 3 * greatest(q90 - q50, off)
+              else least(q90 + 3 * greatest(q90 - q50, off), floor((q50 + 10000) / 2)) end as high
+  from final
 ), failures as (
   select s.r, string_agg(s.measure, ',' order by case s.measure {" ".join(f"when '{m[0]}' then {i}" for i, m in enumerate(_MEASURES))} end) as failed
-  from steps s join quartile q
-    on s.lang is not distinct from q.lang and s.source is not distinct from q.source and s.measure = q.measure
-  where s.v < q.q1 - (3 * (q.q3 - q.q1) + s.slack) or s.v > q.q3 + (3 * (q.q3 - q.q1) + s.slack)
+  from steps s join fence f
+    on s.lang is not distinct from f.lang and s.source is not distinct from f.source and s.measure = f.measure
+  where s.size > 0 and (s.n - 3 * sqrt(s.n) > f.high * s.size or s.n + 3 * sqrt(s.n) < f.low * s.size)
   group by s.r
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,

@@ -52,7 +52,7 @@ def test_steps_are_ordered_and_close(spark):
 def test_verdicts_over_awkward_rows(spark):
     plain = " ".join(f"ordinary{i % 40} words" for i in range(0, 40))
     docs = awkward(spark, [None, "", plain, plain.replace(" ", "### "), "x y"])
-    got = quality_rules.judge(docs, enough=1)
+    got = quality_rules.judge(docs, weight=1)
     assert got.count() == docs.count()
     assert got.filter("kept and n_words < 20").count() == 0
     assert quality_rules.judge(empty(spark)).count() == 0
@@ -60,7 +60,24 @@ def test_verdicts_over_awkward_rows(spark):
         [(i, plain if i % 10 else plain.replace(" ", "### "), None, "s") for i in range(50)],
         "doc_id long, text string, lang string, source string",
     )
-    assert {r.doc_id for r in quality_rules.judge(symbols, enough=10).filter("not kept").collect()} == {0, 10, 20, 30, 40}
+    assert {r.doc_id for r in quality_rules.judge(symbols, weight=10).filter("not kept").collect()} == {0, 10, 20, 30, 40}
+
+
+def test_thresholds_follow_the_source(spark):
+    words = [f"ordinary{i % 40} words" for i in range(40)]
+    plain, code = " ".join(words), " ".join(w.replace(" ", " ## ") for w in words)
+    rows = [(i, plain + f" {i}", "en", "news") for i in range(600)] + [(1000 + i, code + f" {i}", "en", "code") for i in range(600)]
+    rows += [(5000, code, "en", "news"), (5001, code, "en", "code"), (5002, plain + " #", "en", "news")]
+    rows += [(6000 + i, "\n".join([f"line {i} again and again"] * 100 if i % 4 == 0 else [f"line {j} of text {i}" for j in range(100)]), "en", "junk") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    done = quality_rules.judge(docs, weight=50).cache()
+    failed = {r.doc_id: r.failed for r in done.collect()}
+    assert failed[5000] == "symbol_share" and failed[5001] == "" == failed[5002]
+    assert all(not failed[i] and not failed[1000 + i] for i in range(600))
+    # A quarter of a source is bad: its share still has a fence.
+    assert all(("copied_line_share" in failed[6000 + i]) == (i % 4 == 0) for i in range(600))
+    high = {r.source: r.fence["symbol_share"].high for r in quality_rules.fences(done, weight=50).collect()}
+    assert high["news"] < high["code"]
 
 
 def test_hits_are_those_of_all_windows(spark):
