@@ -27,6 +27,7 @@ from .common import sent, slices, table
 
 BUCKETS = 1 << 18  # hashed indicators
 SAMPLE = 10_000  # labelled rows that the model is fitted on, at most
+CAPACITY = 40_000_000  # indicators of these rows in all, at most: 0.5 GB in the one task that fits
 SHARES = (0.0, 0.05, 0.25)  # a shape bigram has an indicator for each share that it exceeds
 SMOOTHING, COST, ROUNDS = 1.0, 0.1, 12
 BLOCK = 1 << 22  # bytes of a text handled at a time
@@ -122,28 +123,41 @@ def fit_rows(rows: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, fl
     return final.astype(np.float32), *_logistic(margins, labels[judged].astype(float))
 
 
-def fit(samples: DataFrame) -> tuple[np.ndarray, float, float]:
-    """Fit on rows of text and label (0 or 1), few enough for one task; ordered by `place`."""
+def fit(samples: DataFrame, capacity: int = CAPACITY) -> tuple[np.ndarray, float, float]:
+    """Fit on rows of key, text and label (0 or 1), with few enough keys for one task.
+
+    Of each key one row counts, that with the smallest `place`. Rows are taken by place until they have `capacity` indicators, one row at least.
+    """
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(BUCKETS, dtype=bool)
         for batch in chain.from_iterable(map(slices, batches)):
             found = [indicators(t or "", seen) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("place"), batch.column("label"), pa.array([f.tobytes() for f in found], pa.binary())],
-                ["place", "label", "found"],
+                [*map(batch.column, names), pa.array([f.tobytes() for f in found], pa.binary())], [*names, "found"]
             )
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [x for batch in batches for x in zip(*(c.to_pylist() for c in batch.columns))]
-        rows.sort()
-        weights, a, b = fit_rows([np.frombuffer(r[2], dtype=np.int32) for r in rows], np.array([r[1] for r in rows]))
+        rows, labels, held = [], [], 0
+        for batch in batches:
+            for label, found in zip(batch.column("label"), batch.column("found")):
+                row = np.frombuffer(found.as_py(), dtype=np.int32)
+                held += len(row)
+                if held <= capacity or not rows:
+                    rows.append(row)
+                    labels.append(label.as_py())
+        if not rows:
+            return
+        weights, a, b = fit_rows(rows, np.array(labels))
         yield pa.RecordBatch.from_arrays(
             [pa.array([weights.tobytes()], pa.binary()), pa.array([float(a)]), pa.array([float(b)])], ["w", "a", "b"]
         )
 
-    found = samples.mapInArrow(extract, "place bigint, label int, found binary")
-    model = found.repartition(1).mapInArrow(learn, "w binary, a double, b double").collect()
+    names = ["key", "place", "label"]
+    chosen = samples.select(*names, "text")
+    found = chosen.mapInArrow(extract, T.StructType([*chosen.drop("text").schema.fields, T.StructField("found", T.BinaryType())]))
+    one = found.groupBy("key").agg(F.min(F.struct("place", "label", "found")).alias("x")).select("x.*")
+    model = one.repartition(1).sortWithinPartitions("place", "label", "found").mapInArrow(learn, "w binary, a double, b double").collect()
     if not model:
         return fit_rows([], np.array([]))
     return np.frombuffer(model[0]["w"], dtype=np.float32), model[0]["a"], model[0]["b"]
@@ -159,9 +173,10 @@ def classify(
 ) -> DataFrame:
     """All rows of `docs` with `held_out`, `score` (0 to 1) and `predicted` added, replacing columns of these names.
 
-    Labels are learned only where crc32 of the id, as text, is not divisible by 5; of those, the `sample` rows with the
-    smallest hash of their id. A label whose id repeats counts once, the smaller value; null ids and labels are not
-    learned from. A null text is scored as empty, a null id is not held out. Without labels every score is 0.5.
+    Labels are learned only where crc32 of the id, as text, is not divisible by 5; of those, the `sample` ids with the
+    smallest hash, and of several documents with such an id that with the smallest hash of id and text. A label whose id repeats
+    counts once, the smaller value; null ids and labels are not learned from. A null text is scored as empty, a null id is not
+    held out. Very long texts are read whole, in blocks. Without labels every score is 0.5; an empty table gives an empty result.
     """
     learned = (
         labels.select(F.col(id_col).alias("key"), F.col(label_col).cast("int").alias("label"))
@@ -171,7 +186,7 @@ def classify(
         .orderBy(F.xxhash64("key"), "key").limit(sample)
     )
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    samples = texts.join(learned, F.col("id") == F.col("key")).select(F.xxhash64("id", "text").alias("place"), "label", "text")
+    samples = texts.join(learned, F.col("id") == F.col("key")).select("key", F.xxhash64("id", "text").alias("place"), "label", "text")
     model = sent(docs.sparkSession, fit(samples))  # one number per bucket
 
     others = docs.drop("held_out", "score", "predicted")

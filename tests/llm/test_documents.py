@@ -193,6 +193,51 @@ def test_classifier_over_awkward_rows(spark):
     assert scores(labels) == scores(flipped)
 
 
+def test_sample_is_bounded_by_ids_and_indicators(spark):
+    rows = [(k % 5 + 1, f"text {k} of some words", k % 2) for k in range(1000)]
+    samples = spark.createDataFrame(rows, "key long, text string, label int").selectExpr("*", "xxhash64(key, text) as place")
+    least = {}
+    for r in samples.collect():
+        least[r.key] = min(least.get(r.key, r), r, key=lambda x: x.place)
+    once = spark.createDataFrame(list(least.values()), samples.schema)
+    weights, a, b = quality_classifier.fit(samples)
+    again = quality_classifier.fit(once)
+    assert np.array_equal(weights, again[0]) and (a, b) == again[1:]
+    # By hand: the first rows in order of place, as far as their indicators go.
+    seen = np.zeros(quality_classifier.BUCKETS, dtype=bool)
+    found = [(quality_classifier.indicators(r.text, seen), r.label) for r in sorted(least.values(), key=lambda x: x.place)]
+    capacity = sum(len(f) for f, _ in found[:3])
+    expected = quality_classifier.fit_rows([f for f, _ in found[:3]], np.array([y for _, y in found[:3]]))
+    weights, a, b = quality_classifier.fit(samples, capacity)
+    assert np.array_equal(weights, expected[0]) and (a, b) == expected[1:]
+
+
+def test_descent_solves_the_dual_problem(monkeypatch):
+    """Against projected gradients on the whole dual matrix, with log-count ratios counted by hand."""
+    draw = random.Random(4)
+    words = [f"w{i}" for i in range(12)]
+    rows = [" ".join(draw.choice(words[:8] if i % 2 else words[4:]) for _ in range(6)) for i in range(24)]
+    labels = np.array([i % 2 for i in range(24)])
+    seen = np.zeros(quality_classifier.BUCKETS, dtype=bool)
+    found = [quality_classifier.indicators(t, seen) for t in rows]
+    y, cost = np.where(labels == 1, 1.0, -1.0), np.full(24, 0.1)
+    used = sorted(set(np.concatenate(found).tolist()))
+    count = [{c: 1 + sum(c in f for f, l in zip(map(set, found), labels) if l == k) for c in used} for k in (0, 1)]
+    rest = quality_classifier.BUCKETS - len(used)
+    total = [sum(c.values()) + rest for c in count]
+    ratio = {c: np.log(count[1][c] / total[1]) - np.log(count[0][c] / total[0]) for c in used}
+    x = np.array([[ratio[c] if c in set(f.tolist()) else 0.0 for c in used] + [1.0] for f in found])
+    scale = np.zeros(quality_classifier.BUCKETS)
+    scale[used] = [ratio[c] for c in used]
+    monkeypatch.setattr(quality_classifier, "ROUNDS", 400)
+    weights = quality_classifier._descend(found, scale, y, cost)
+    alpha, gram = np.zeros(24), (x * y[:, None]) @ (x * y[:, None]).T
+    for _ in range(20000):  # projected gradient on the same dual problem
+        alpha = np.clip(alpha - (gram @ alpha - 1) / np.linalg.norm(gram, 2), 0, cost)
+    dense = (alpha * y) @ x
+    assert np.allclose(weights[used], dense[:-1], atol=1e-3) and abs(weights[-1] - dense[-1]) < 1e-3
+
+
 def test_no_python_on_native_paths(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     plan = secrets.find(docs, [0.0] * 65 * 65)._jdf.queryExecution().toString()
