@@ -99,9 +99,9 @@ def fastest_laps(tables: Tables) -> DataFrame:
     in_session = Window.partitionBy("session_key").orderBy("fastest_lap_time", "driver_number")
     sessions = tables["silver_sessions"].select("session_key", "session_name", "location", "date_start")
     return (
-        best.withColumn("rank", F.row_number().over(in_session))
-        .join(names(tables), ENTRY, "left")
+        best.join(names(tables), ENTRY, "left")
         .join(sessions, "session_key", "left")
+        .withColumn("rank", F.row_number().over(in_session))
         .select(
             "session_key", "session_name", "location", "date_start", "rank", "driver_number", "full_name",
             "team_name", "lap_number", "fastest_lap_time",

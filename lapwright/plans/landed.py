@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,10 +11,13 @@ from pyspark.sql import functions as F
 from lapwright.operators.audit import row_counts
 from lapwright.plans.cascade import PROCESSED_AT, Update, rule_history, update
 from lapwright.plans.common import ENTRY, Tables
+from lapwright.plans.gold import GOLD, SOURCES
 from lapwright.plans.quarantine import quarantine
+from lapwright.plans.states import STATES, state
 from lapwright.schemas import TABLES
 from lapwright.session import shared_folder
 from lapwright.sources import files, landing
+from lapwright.sources.colocated import Colocated
 from lapwright.sources.tables import list_tables, preview, save_as_table, table
 from lapwright.streaming import bronze
 
@@ -181,3 +185,21 @@ def saved_answer(spark: SparkSession, tables: Tables) -> DataFrame:
         raise LookupError(name)
     columns = ["session_key", "driver_number", "total_laps", "fastest_lap_time"]
     return preview(table(spark, name).select(*columns).orderBy("session_key", "driver_number"))
+
+
+def colocated(spark: SparkSession, tables: Tables, wanted: Sequence[str], buckets: int = 8) -> Tables:
+    """The wanted tables and all that they are made from, in buckets of their keys; aggregate tables are made from those buckets."""
+    kept, known = Colocated(spark, f"{home(spark)}/colocated", buckets), []
+
+    def keep(name: str) -> None:
+        if name in known:
+            return
+        for source in SOURCES.get(name, ()):
+            keep(source)
+        rows = GOLD[name](kept.tables(known)) if name in GOLD else state(tables, name) if name in STATES else tables[name]
+        kept.write(name, rows)
+        known.append(name)
+
+    for name in wanted:
+        keep(name)
+    return kept.tables(known)

@@ -725,6 +725,10 @@ Q["rule_history"] = " union all ".join(
 Q["saved_answer"] = """
 select session_key, driver_number, total_laps, fastest_lap_time from gold_driver_performance
 order by session_key, driver_number limit 10"""
+# From tables in buckets: the same rows.
+for _name in ("driver_performance", "fastest_laps", "race_summary", "team_performance"):
+    Q[f"colocated_{_name}"] = Q[f"gold_{_name}"]
+Q["colocated_driver_comparison"] = Q["dash_driver_comparison"]
 Q["app_driver_numbers"] = f"""
 select distinct d.driver_number from silver_drivers d join silver_sessions s on s.session_key = d.session_key
 where s.year = {YEAR} and d.full_name in ('Driver 3', 'Driver 12', 'Nobody')"""
