@@ -228,3 +228,19 @@ def test_schema_merge_only_widens():
     assert merge(got, StructType.fromDDL("c double"), StructType(), None)["c"].dataType.simpleString() == "double"
     listed = merge(known, found, StructType(), known)
     assert listed["b"].dataType.simpleString() == "double"  # a listed number stays one; the text stays in the record
+
+
+def test_many_small_batches_share_files(spark, home):
+    """One file may hold many batches; each record still tells its batch, and tables do not show the name."""
+    values = [(s, d, n) for s in range(300) for d in (4, 44) for n in range(s % 3 + 1)] + [(None, 4, 1)]
+    df = spark.createDataFrame(values, "session_key int, driver_number int, lap_number int")
+    landing.land_packed(df, f"{home}/landing", "pit")
+    assert landing.data_files(spark, f"{home}/landing", "pit").count() < 50
+    raw = open_bronze(spark, home)
+    assert raw.ingest(["pit"]) == {"pit": len(values)}
+    found = raw["pit"].groupBy(landing.LANDED_BATCH).count().collect()
+    assert len(found) == 601 and {r[1] for r in found} == {1, 2, 3}
+    counts = dict(map(tuple, found))
+    assert counts["session_key_5_driver_number_44"] == 3 and counts["session_key_driver_number_4"] == 1
+    assert sorted(bronze.records(raw["pit"]).columns) == ["driver_number", "lap_number", "session_key"]
+    assert landing.LANDED_BATCH not in bronze.arrived(raw["pit"]).columns
