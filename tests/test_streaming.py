@@ -244,3 +244,16 @@ def test_many_small_batches_share_files(spark, home):
     assert counts["session_key_5_driver_number_44"] == 3 and counts["session_key_driver_number_4"] == 1
     assert sorted(bronze.records(raw["pit"]).columns) == ["driver_number", "lap_number", "session_key"]
     assert landing.LANDED_BATCH not in bronze.arrived(raw["pit"]).columns
+
+
+def test_compressed_files_are_small_and_read_by_several_tasks(spark, home, monkeypatch):
+    monkeypatch.setattr(landing, "RECORDS", 1000)
+    df = spark.range(5000).selectExpr("id as session_key", "'a message that is always the same' as message").coalesce(1)
+    landing.land(df, f"{home}/landing", "race_control", compressed=True)
+    landing.land(df, f"{home}/plain", "race_control")
+    small, plain = ([r.length for r in landing.data_files(spark, f"{home}/{at}", "race_control").collect()] for at in ("landing", "plain"))
+    assert len(small) == 5 and sum(small) * 4 < sum(plain)
+    assert landing.read_landed(spark, f"{home}/landing", "race_control").count() == 5000
+    raw = open_bronze(spark, home)
+    assert raw.ingest(["race_control"]) == {"race_control": 5000} and raw.ingest(["race_control"]) == {"race_control": 0}
+    assert raw["race_control"].select("session_key").distinct().count() == 5000 and raw.unread("race_control").isEmpty()
