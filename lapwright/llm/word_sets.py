@@ -7,8 +7,9 @@ a pair once in about 300 times. Every candidate is checked on the sets themselve
 
 Texts with the same words are one node. In a bucket no two members are paired with each other but each with a
 pivot: first every node with the smallest pivot of its buckets, which joins large groups; then, where a bucket still holds
-several groups, its members with a few pivots of other groups. So the number of candidates follows the number of texts.
-The minima tell most pairs that are far apart; only texts of the others are read once more for their sets.
+several groups, its members with a few pivots of other groups. What is then left in several groups of a bucket is compared
+member by member, so that no pair of a bucket is passed over; members are dealt over slots, and a slot's pairs are told by their minima as
+they are made. The minima tell most pairs that are far apart; only texts of the others are read once more for their sets.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from itertools import accumulate, chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +33,7 @@ BLOCK = 1 << 16  # hashes whose minima are taken at a time; a very long text tak
 # Odd factors of the hash functions: multiples of the golden ratio's fraction, in 64 bits.
 FACTORS = (np.arange(1, ROWS * BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 FLIPS = (0x5555555555555555, 0x0F0F0F0F0F0F0F0F)
+SLOT = 512  # members of a large bucket that are compared in one join
 BITS = 26  # of the filter of nodes: 8 MB
 
 
@@ -98,11 +100,16 @@ def first_pairs(members: DataFrame, buckets: DataFrame) -> DataFrame:
     return met.filter("node <> p").select(*_pair("node", "p")).distinct()
 
 
-def further_pairs(members: DataFrame, buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """Nodes with pivots of their buckets that are in other groups."""
-    known = members.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select(
+def grouped(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """The members with the root of their group."""
+    return members.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select(
         "node", "band", "key", F.coalesce("root", "node").alias("root")
     )
+
+
+def further_pairs(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Nodes with pivots of their buckets that are in other groups."""
+    known = grouped(members, roots)
     flips = [F.min(F.struct(F.col("node").bitwiseXOR(F.lit(c)), "node", "root")).alias(f"m{i}") for i, c in enumerate((0, -1, *FLIPS))]
     mixed = known.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"), *flips).filter("low <> high")
     pivots = F.array_distinct(F.array(*[F.struct(F.col(f"m{i}.node").alias("p"), F.col(f"m{i}.root").alias("r")) for i in range(4)]))
@@ -111,13 +118,46 @@ def further_pairs(members: DataFrame, buckets: DataFrame, roots: DataFrame) -> D
     return each.select(*_pair("node", "p")).distinct()
 
 
+def remaining_pairs(members: DataFrame, roots: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """All likely pairs of a bucket's members in different groups.
+
+    Members outside a bucket's largest group meet all members. Both sides are dealt over slots of about SLOT members, so that a
+    large bucket makes many small joins, and only pairs whose minima are near leave the join.
+    """
+    known = grouped(members, roots)
+    sizes = known.groupBy("band", "key", "root").agg(F.count("*").alias("n"))
+    mixed = sizes.groupBy("band", "key").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("groups"))
+    mixed = mixed.filter("groups > 1").select(
+        "band", "key", F.col("main.root").alias("main"),
+        F.ceil((F.col("n") - F.col("main.n")) / SLOT).alias("few"), F.ceil(F.col("n") / SLOT).alias("many"),
+    )
+    each = known.join(mixed, ["band", "key"]).join(nodes.select("node", "minima"), "node")
+
+    def side(rows: DataFrame, own: str, other: str, names: tuple[str, str, str]) -> DataFrame:
+        dealt = rows.withColumns({own: F.pmod(F.xxhash64("node"), F.col(own)), other: F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))})
+        return dealt.select("band", "key", "few", "many", *[F.col(c).alias(n) for c, n in zip(("node", "root", "minima"), names)])
+
+    a = side(each.filter("root <> main"), "few", "many", ("u", "ru", "a"))
+    b = side(each, "many", "few", ("v", "rv", "b"))
+    near = a.join(b, ["band", "key", "few", "many"]).filter("ru <> rv").filter(_agree() >= _least_agree(least))
+    return near.select(*_pair("u", "v")).distinct()
+
+
+def _agree() -> Column:
+    """In how many hash functions the minima a and b agree."""
+    return F.size(F.filter(F.zip_with("a", "b", lambda x, y: x == y), lambda same: same))
+
+
+def _least_agree(least: float) -> float:
+    n = ROWS * BANDS
+    return n * least - 5 * (n * least * (1 - least)) ** 0.5
+
+
 def likely(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     """The pairs whose minima agree as often as those of texts with that similarity do, five standard deviations allowed."""
     a = nodes.select(F.col("node").alias("u"), F.col("minima").alias("a"))
     b = nodes.select(F.col("node").alias("v"), F.col("minima").alias("b"))
-    agree = F.size(F.filter(F.zip_with("a", "b", lambda x, y: x == y), lambda same: same))
-    n = ROWS * BANDS
-    return pairs.join(a, "u").join(b, "v").filter(agree >= n * least - 5 * (n * least * (1 - least)) ** 0.5).select("u", "v")
+    return pairs.join(a, "u").join(b, "v").filter(_agree() >= _least_agree(least)).select("u", "v")
 
 
 def _bitmap(nodes: DataFrame) -> np.ndarray:
@@ -194,6 +234,9 @@ def links(rows: DataFrame, signed: DataFrame, least: float = SIMILARITY) -> Data
 
     first = checked(first_pairs(members, buckets))
     roots = stored(components(first))
-    further = checked(further_pairs(members, buckets, roots))
+    further = checked(further_pairs(members, roots))
+    discard(roots)
+    roots = stored(components(first.unionByName(further)))
+    rest = checked(remaining_pairs(members, roots, nodes, least))
     discard(nodes, members, roots)
-    return first.unionByName(further)
+    return first.unionByName(further).unionByName(rest)

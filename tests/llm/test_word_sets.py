@@ -85,3 +85,22 @@ def test_minima_agree_as_often_as_sets_are_alike():
         total += (word_sets.minima(a) == word_sets.minima(b)).mean() - truth
         words = other
     assert abs(total / 40) < 0.03
+
+
+def test_no_pair_of_a_bucket_is_passed_over(spark, monkeypatch):
+    """Many far groups in one bucket: copies that no pivot is near to are still found, whatever the slots."""
+    monkeypatch.setattr(word_sets, "SLOT", 7)
+    draw = random.Random(5)
+    size = word_sets.ROWS * word_sets.BANDS
+    minima = {i: [draw.randrange(10**9) for _ in range(size)] for i in range(60)}
+    for i in range(0, 60, 3):
+        minima[i + 1] = minima[i][:-3] + [1, 2, 3]
+    wanted = {(i, i + 1) for i in range(0, 60, 3)}
+    nodes = spark.createDataFrame(list(minima.items()), "node long, minima array<int>")
+    members = nodes.selectExpr("node", "0 as band", "7L as `key`")
+    none = spark.createDataFrame([], "node long, root long")
+    pivots = {(r.u, r.v) for r in word_sets.likely(word_sets.further_pairs(members, none), nodes, 0.8).collect()}
+    assert not wanted <= pivots
+    assert {(r.u, r.v) for r in word_sets.remaining_pairs(members, none, nodes, 0.8).collect()} == wanted
+    joined = spark.createDataFrame([x for i in range(3, 60, 3) for x in ((i, 3), (i + 1, 3))], "node long, root long")
+    assert {(r.u, r.v) for r in word_sets.remaining_pairs(members, joined, nodes, 0.8).collect()} == {(0, 1)}
