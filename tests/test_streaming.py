@@ -257,3 +257,17 @@ def test_compressed_files_are_small_and_read_by_several_tasks(spark, home, monke
     raw = open_bronze(spark, home)
     assert raw.ingest(["race_control"]) == {"race_control": 5000} and raw.ingest(["race_control"]) == {"race_control": 0}
     assert raw["race_control"].select("session_key").distinct().count() == 5000 and raw.unread("race_control").isEmpty()
+
+
+def test_broken_lines_are_told_by_what_is_stored(spark, home):
+    """Records with misfits, lines that are none: told apart without taking a column out of a record, and without a task for nothing."""
+    drop(spark, home, "laps", "session_key string, lap_number string, lap_duration string", ("1", "1", "90.5"), ("2", "x", "n/a"))
+    Path(home, "landing", "laps", "more.json").write_text('{"session_key": 3}\nnot a record\n{"session_key": \n  {"lap_number": 4}\n[1]\n')
+    raw = open_bronze(spark, home)
+    raw.ingest(["laps"])
+    assert rows(raw.arrived("laps")) == rows(bronze.arrived(raw["laps"])) and raw.arrived("laps").count() == 4
+    assert rows(raw.malformed("laps")) == rows(bronze.malformed(raw["laps"])) and raw.malformed("laps").count() == 3
+    for table in (raw.arrived("laps"), raw.malformed("laps")):
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert "Filter" in plan and not [x for x in plan.splitlines() if "Filter" in x and "variant_get" in x]
+    assert raw.arrived("laps", raw.last_batch("laps")).rdd.getNumPartitions() == 0
