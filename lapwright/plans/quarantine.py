@@ -11,7 +11,6 @@ from lapwright.operators import rule_names
 from lapwright.plans.cascade import BROKEN, Update
 from lapwright.schemas import RESCUED, TABLES
 from lapwright.sources.bucketed import KEPT
-from lapwright.streaming.bronze import malformed
 
 _COLUMNS = "table_name string, rules string, record string"
 
@@ -31,7 +30,7 @@ def quarantine(done: Update) -> DataFrame:
                 F.to_json(F.struct(*spec.schema.names)).alias("record"),
             ))
         if endpoint in done.bronze:
-            parts.append(malformed(done.bronze[endpoint]).select(
+            parts.append(done.bronze.malformed(endpoint).select(
                 F.lit(spec.silver).alias("table_name"), F.lit("malformed").alias("rules"), F.col(RESCUED).alias("record")
             ))
     return reduce(DataFrame.unionByName, parts) if parts else stored.spark.createDataFrame([], _COLUMNS)
