@@ -24,25 +24,32 @@ from .common import discard, identity, stored, table, whole_text
 MIN_WORDS = 50
 SECTIONS = 4096
 WORD = r"[^\x20\x09-\x0D]+"
+# Of a line that is words with single blanks between, and no other one, the blanks tell the words.
+UNEVEN = r"[\x09-\x0D]|\x20\x20|^\x20|\x20$"
 KEYS = ["doc_id", "h1", "h2"]
 
 
+def words_in(line: Column) -> Column:
+    """Number of words of a line that has some; the pattern, which is slow, is for lines with other blanks."""
+    return F.when(line.rlike(UNEVEN), F.regexp_count(line, F.lit(WORD))).otherwise(F.size(F.split(line, " ", -1)))
+
+
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Lines with a word, of distinct documents: keys, i (number among these), pos (number among all), words, a, b (hashes)."""
+    """Lines with a word, of distinct documents: keys, i (number among these), pos (number among all), words, a, b (hashes).
+
+    Words and hashes are taken row by row, where Spark compiles them; functions inside arrays are interpreted.
+    """
     text = whole_text(text_col)
     numbered = F.filter(
         F.transform(F.split(text, "\n", -1), lambda x, p: F.struct(p.alias("pos"), x.alias("line"))),
         lambda x: x["line"].rlike(r"[^\x20\x09-\x0D]"),
     )
-    slim = F.transform(
-        numbered,
-        lambda x: F.struct(
-            x["pos"].alias("pos"), F.regexp_count(x["line"], F.lit(WORD)).alias("words"),
-            F.xxhash64(x["line"]).alias("a"), F.xxhash64(F.lit(1), x["line"]).alias("b"),
-        ),
+    # A plain explode has Spark test the array beforehand, and so make it once more for each test.
+    rows = docs.select(*identity(id_col, text_col), numbered.alias("l")).select(*KEYS, F.posexplode_outer("l").alias("i", "x"))
+    line = F.col("x.line")
+    return rows.where(F.col("x").isNotNull()).select(
+        *KEYS, "i", "x.pos", words_in(line).alias("words"), F.xxhash64(line).alias("a"), F.xxhash64(F.lit(1), line).alias("b")
     )
-    rows = docs.select(*identity(id_col, text_col), slim.alias("l"))
-    return rows.select(*KEYS, F.posexplode("l").alias("i", "x")).select(*KEYS, "i", "x.*")
 
 
 def _candidates(lines: DataFrame, min_words: int) -> DataFrame:
@@ -117,7 +124,9 @@ def removed_runs(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS
 ) -> DataFrame:
     """Per distinct document with a deletion (`identity`): `removed`, an array of (first, last) line numbers from 0."""
-    rows = stored(_candidates(_lines(docs, id_col, text_col), min_words))
+    lines = stored(_lines(docs, id_col, text_col))  # counted first, then joined: the texts are read once
+    rows = stored(_candidates(lines, min_words))
+    discard(lines)
     ranks = suffix_ranks(rows, min_words, [*KEYS, "block"], ["a", "b"])
     levels = [c for c in ranks.columns if c.startswith("r") and c[1:].isdigit()]
 

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from helpers import awkward, empty, hit_words
 
-from lapwright.llm import decontamination, quality_classifier, quality_rules, registry, secrets
+from lapwright.llm import decontamination, line_dedup, quality_classifier, quality_rules, registry, secrets
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -242,3 +242,14 @@ def test_no_python_on_native_paths(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     plan = secrets.find(docs, [0.0] * 65 * 65)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_lines_are_taken_out_of_a_text_once(spark):
+    """Words of lines with any blanks, and a plan that makes the array of lines in one place only."""
+    texts = ["a b", " a  b ", "a\tb c\x0b", "\x0c \r", "one", "a\u00a0b c", "x  y\r", "", "a b c\u2028"]
+    docs = spark.createDataFrame([(1, "\n".join(texts)), (2, None), (3, " \n")], "doc_id long, text string")
+    lines = line_dedup._lines(docs, "doc_id", "text")
+    got = sorted((r.doc_id, r.i, r.pos, r.words) for r in lines.collect())
+    counts = [(p, len(re.findall(line_dedup.WORD, x))) for p, x in enumerate(texts)]
+    assert got == [(1, i, *pair) for i, pair in enumerate((p, n) for p, n in counts if n)]
+    assert lines._jdf.queryExecution().executedPlan().toString().count("transform(") == 1
