@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import sent, slices, table
-from .pieces import WordPieces
+from .common import sent_built, slices, table
+from .pieces import WordPieces, file_text, told_apart
 
 REMEMBERED = 400_000  # words whose ids a task keeps; memory only, no effect on results
 
@@ -47,13 +47,22 @@ class Encoder:
         return b"".join(out)
 
 
+def _encoder(text: str, odd: frozenset[str]) -> Encoder:
+    return Encoder(WordPieces.of(text, odd))
+
+
+def _names(text: str, odd: frozenset[str]) -> dict[int, str]:
+    return WordPieces.of(text, odd).names
+
+
 def encode(docs: DataFrame, vocabulary: str, text_col: str = "text") -> DataFrame:
     """Add `ids` (binary: little-endian unsigned 32-bit integers) and `n_tokens` (long) to every row.
 
     A null text counts as empty and has no ids. Rows are independent, so repeated rows and ids get equal results; other
     columns pass through, and columns already named `ids` or `n_tokens` are replaced. An empty table gives an empty one.
     """
-    shared = sent(docs.sparkSession, Encoder(WordPieces(vocabulary)))  # some 50,000 entries, whatever the input
+    # The tables of some 50,000 entries are made by the workers; the driver holds the text of the file alone.
+    shared = sent_built(docs.sparkSession, _encoder, file_text(vocabulary), told_apart())
     kept = docs.drop("ids", "n_tokens")
     fields = kept.schema.fields + [T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())]
 
@@ -71,7 +80,7 @@ def decode(rows: DataFrame, vocabulary: str) -> DataFrame:
 
     Null ids give a null. Unknown ids cannot come from `encode` and raise an error.
     """
-    shared = sent(rows.sparkSession, WordPieces(vocabulary).names)
+    shared = sent_built(rows.sparkSession, _names, file_text(vocabulary), told_apart())
     kept = rows.drop("decoded")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

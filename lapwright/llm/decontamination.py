@@ -55,6 +55,15 @@ def with_fingerprints(rows: DataFrame, span: int = SPAN, gram: int = GRAM) -> Da
     )
 
 
+def distinct_prints(rows: DataFrame) -> DataFrame:
+    """The fingerprints of all rows.
+
+    A plain explode has Spark test the array beforehand. The test is pushed below all steps, each of which names the one
+    before twice, so it would repeat the first step dozens of times.
+    """
+    return with_fingerprints(rows).select(F.explode_outer("prints").alias("print")).where("print is not null").distinct()
+
+
 def _grams(rows: DataFrame, lengths: Column, keep: list[str]) -> DataFrame:
     """Every run of words of the given lengths: keep, at (0-based), len, gram (its text)."""
     return (
@@ -78,7 +87,7 @@ def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     short = [r[0] for r in windows.filter(F.col("len") < SPAN).select("len").distinct().collect()]  # 9 at most
     item_words = windows.filter(F.col("len") == SPAN).select(F.split("gram", " ").alias("words"))
     # Stored, so that Spark knows its size: a small benchmark is broadcast, a large one is joined by shuffling.
-    targets = stored(with_fingerprints(item_words).select(F.explode("prints").alias("print")).distinct())
+    targets = stored(distinct_prints(item_words))
 
     rows = docs.select(*identity(id_col, text_col), words(whole_text(text_col)).alias("words"))
     keys = ["doc_id", "h1", "h2"]

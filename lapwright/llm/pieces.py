@@ -5,6 +5,7 @@ Plain Python used inside tasks by the encoding and the counting operator.
 
 from __future__ import annotations
 
+import functools
 import heapq
 import json
 import re
@@ -78,23 +79,24 @@ def merge_long(word: str, cuts: list[int], ranks_of: dict[tuple[str, str], int])
     return [cuts[i] for i in range(n) if live[i]] + [cuts[n]]
 
 
-def _told_apart() -> set[str]:
+@functools.cache
+def told_apart() -> frozenset[str]:
     """Characters that the two regular-expression modules sort differently."""
     every = "".join(chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c <= 0xDFFF)
     differ: set[str] = set()
     for fast, exact in ((r"[^\W\d_]", r"\p{L}"), (r"\d", r"\p{N}"), (r"\s", r"\s")):
         differ |= set(re.findall(fast, every)) ^ set(regex.findall(exact, every))
-    return differ
+    return frozenset(differ)
 
 
 class Words:
-    """Finds the words of a text; built once on the driver and sent to the tasks."""
+    """Finds the words of a text. ``odd`` is what `told_apart` found, where that is known already."""
 
     # The two patterns as the vocabulary files state them.
     SPACED = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
     BARE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-    def __init__(self, spaced: bool):
+    def __init__(self, spaced: bool, odd: frozenset[str] | None = None):
         self.exact = regex.compile(self.SPACED if spaced else self.BARE)
         # The built-in module is four times as fast; its classes differ only for the characters in `odd`.
         self.fast = re.compile(
@@ -102,7 +104,7 @@ class Words:
             if spaced
             else r"'(?:[stmd]|re|ve|ll)|[^\W\d_]+|\d|(?:[^\s\w]|_)+"
         )
-        self.odd = _told_apart()
+        self.odd = told_apart() if odd is None else odd
         low = "".join(map(re.escape, sorted(c for c in self.odd if c < "\u0250")))
         self.suspect = re.compile(f"[{low}\u0250-\U0010ffff]")  # all of them, and more, found at little cost
 
@@ -111,6 +113,11 @@ class Words:
         return (self.exact if exact else self.fast).findall(text)
 
 
+def file_text(path: str) -> str:
+    with open(path, encoding="utf-8") as f:
+        return f.read()
+
+
 class WordPieces:
     """A byte-level vocabulary with merges, read from a tokenizer file.
 
@@ -119,8 +126,17 @@ class WordPieces:
     """
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+        self._build(file_text(path))
+
+    @classmethod
+    def of(cls, text: str, odd: frozenset[str] | None = None) -> WordPieces:
+        """The vocabulary in the text of a tokenizer file."""
+        made = cls.__new__(cls)
+        made._build(text, odd)
+        return made
+
+    def _build(self, text: str, odd: frozenset[str] | None = None) -> None:
+        spec = json.loads(text)
         model = spec["model"]
         self.ids: dict[str, int] = model["vocab"]
         self.ranks = {(a, b): i for i, (a, b) in enumerate(map(tuple, model["merges"]))}
@@ -128,7 +144,7 @@ class WordPieces:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.names = {i: t for t, i in [*self.ids.items(), *self.special.items()]}
         self.lowered = spec["normalizer"] is not None
-        self.words = Words(spaced=not self.lowered)
+        self.words = Words(not self.lowered, odd)
         self.letters = byte_letters()
         self.marks = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
 

@@ -34,7 +34,7 @@ BLOCK = 1 << 16  # hashes whose minima are taken at a time; a very long text tak
 FACTORS = (np.arange(1, ROWS * BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 FLIPS = (0x5555555555555555, 0x0F0F0F0F0F0F0F0F)
 SLOT = 512  # members of a large bucket that are compared in one join
-BITS = 26  # of the filter of nodes: 8 MB
+BITS = 26  # of the largest filter of nodes: 8 MB
 
 
 def run_hashes(text: str) -> tuple[int, np.ndarray]:
@@ -160,11 +160,15 @@ def likely(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     return pairs.join(a, "u").join(b, "v").filter(_agree() >= _least_agree(least)).select("u", "v")
 
 
-def _bitmap(nodes: DataFrame) -> np.ndarray:
-    """Bits of the nodes' lowest BITS bits: a filter of fixed size, whatever the number of nodes."""
-    bit = F.col("node").bitwiseAND((1 << BITS) - 1) + 1  # bitmaps count from 1, 32,768 bits to a bucket
+def _bitmap(nodes: DataFrame, count: int) -> np.ndarray:
+    """Bits of the nodes' lowest bits: a filter of at least 32 bits a node, up to a fixed size whatever their number.
+
+    It goes through the driver, which a filter of the full size for few nodes would cost most of its spare memory.
+    """
+    bits = min(BITS, max(16, count.bit_length() + 5))
+    bit = F.col("node").bitwiseAND((1 << bits) - 1) + 1  # bitmaps count from 1, 32,768 bits to a bucket
     parts = nodes.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
-    whole = np.zeros((1 << BITS) // 8, np.uint8)
+    whole = np.zeros((1 << bits) // 8, np.uint8)
     for r in parts.collect():
         whole[(r.bucket - 1) * 4096 : r.bucket * 4096] = np.frombuffer(r.bits, np.uint8)
     return whole
@@ -172,18 +176,20 @@ def _bitmap(nodes: DataFrame) -> np.ndarray:
 
 def sets(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """node and the set of its runs, as sorted numbers of 32 bits, for the wanted nodes and few others."""
-    if nodes.isEmpty():
+    count = nodes.count()
+    if not count:
         return rows.sparkSession.createDataFrame([], "node long, runs binary")
-    wanted = sent(rows.sparkSession, _bitmap(nodes))
+    wanted = sent(rows.sparkSession, _bitmap(nodes, count))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, done = wanted.value, set()
+        lowest = 8 * len(known) - 1
         for batch in chain.from_iterable(map(slices, batches)):
             found = {}
             for text in batch.column("text").to_pylist():
                 words = b" ".join((text or "").encode("utf-8").lower().split())
                 node = xxhash.xxh64_intdigest(words)
-                bit = node & ((1 << BITS) - 1)
+                bit = node & lowest
                 if node not in done and known[bit >> 3] >> (bit & 7) & 1:
                     done.add(node)
                     found[node] = np.unique((run_hashes(text or "")[1] >> np.uint64(32)).astype(np.uint32)).tobytes()

@@ -253,3 +253,11 @@ def test_lines_are_taken_out_of_a_text_once(spark):
     counts = [(p, len(re.findall(line_dedup.WORD, x))) for p, x in enumerate(texts)]
     assert got == [(1, i, *pair) for i, pair in enumerate((p, n) for p, n in counts if n)]
     assert lines._jdf.queryExecution().executedPlan().toString().count("transform(") == 1
+
+
+def test_the_plan_of_item_prints_does_not_repeat_its_steps(spark):
+    rows = spark.createDataFrame([([str(i) for i in range(12)],), ([],), (None,)], "words array<string>")
+    prints = decontamination.distinct_prints(rows)
+    assert prints._jdf.queryExecution().optimizedPlan().toString().count("zip_with") <= 6
+    once = decontamination.with_fingerprints(rows.limit(1)).first().prints
+    assert sorted(r[0] for r in prints.collect()) == sorted(set(once))

@@ -2,12 +2,13 @@
 
 import random
 
+import numpy as np
 from helpers import awkward, empty, fingerprint, groups, without_copied_runs
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lapwright.llm import line_dedup, simhash
+from lapwright.llm import line_dedup, simhash, word_sets
 from lapwright.llm.components import components
 
 MASKS = simhash.covering_masks()
@@ -120,3 +121,16 @@ def test_ranks_are_places_in_the_suffix_array(spark):
     expected = {k: 1 + sum(q < p for q in prefixes.values()) for k, p in prefixes.items()}
     assert {(r.s, r.i): r.r3 for r in got.collect()} == expected
     assert got.filter(F.col("r0") < 1).count() == 0
+
+
+def test_the_filter_of_nodes_follows_their_number(spark):
+    nodes = [5, -7, 2**62 + 11]
+    few = word_sets._bitmap(spark.createDataFrame([(n,) for n in nodes], "node long"), len(nodes))
+    assert len(few) == 8192 and int(np.unpackbits(few).sum()) == len(nodes)
+    lowest = 8 * len(few) - 1
+    assert all(few[(n & lowest) >> 3] >> (n & 7) & 1 for n in nodes)
+    rows = spark.createDataFrame([(f"text {i} of some words here",) for i in range(300)], "text string")
+    wanted = [word_sets.run_hashes(f"text {i} of some words here")[0] for i in range(0, 300, 3)]
+    wanted = [n - 2**64 if n >> 63 else n for n in wanted]
+    found = word_sets.sets(rows, spark.createDataFrame([(n,) for n in wanted], "node long"))
+    assert set(wanted) <= {r.node for r in found.collect()}

@@ -1,6 +1,7 @@
 """Encoding, decoding and counting against the library that owns the vocabularies."""
 
 import hashlib
+import pickle
 import random
 from array import array
 
@@ -9,7 +10,8 @@ from helpers import BYTE_BPE, TEXTS, WORD_BPE, awkward, empty
 from tokenizers import Tokenizer
 
 from lapwright.llm import bpe, token_counts
-from lapwright.llm.pieces import WordPieces, merge_long, merge_short
+from lapwright.llm.common import Built
+from lapwright.llm.pieces import WordPieces, file_text, merge_long, merge_short, told_apart
 
 
 @pytest.mark.parametrize("path", [WORD_BPE, BYTE_BPE])
@@ -68,3 +70,11 @@ def test_registered_digests(spark):
     for r in token_counts.counts(spark, folder, BYTE_BPE).collect():
         n = len(library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids)
         assert (r.n_tokens, r.over_limit) == (n, n > 512)
+
+
+def test_vocabularies_are_made_by_the_workers():
+    call = Built(bpe._encoder, file_text(WORD_BPE), told_apart())
+    assert not any(isinstance(x, bpe.Encoder | WordPieces) for x in vars(call).values())
+    assert len(pickle.dumps(call)) < 2_500_000
+    made, here = pickle.loads(pickle.dumps(call)), bpe.Encoder(WordPieces(WORD_BPE))
+    assert made("Some words, not many \u03a3.") == here("Some words, not many \u03a3.")
