@@ -149,6 +149,33 @@ def test_states_merge_and_take_back(spark, name):
     assert rows(got) == rows(kind.of(now))
 
 
+def test_states_of_replaced_rows_take_no_join(spark):
+    from lapwright.plans import cascade
+    from lapwright.schemas import TABLES
+
+    written = {}
+
+    class Stored:
+        def manifest(self, name):
+            return type("M", (), {"version": 2, "read": {"silver_laps": 1}})
+
+        def changed_buckets(self, name, since):
+            return {0}
+
+        def rows(self, name, buckets=None, version=None, kept=None):
+            columns = [f"cast({v} as {f.dataType.simpleString()}) as {f.name}" for f, v in ((f, 60 if f.name == "lap_duration" else "false" if f.name == "is_pit_out_lap" else 1 if "number" in f.name else "null") for f in TABLES["laps"].schema)]
+            return spark.range(3).selectExpr(*columns, "2 as __version", "0 as _bucket")
+
+        def write(self, name, df, buckets=None, **more):
+            written[name] = df
+
+    steps = cascade._Refresh.__new__(cascade._Refresh)
+    steps.stored, steps.rebuild = Stored(), False
+    assert steps.state("state_best_lap") == "state_best_lap"
+    assert "Join" not in written["state_best_lap"]._jdf.queryExecution().optimizedPlan().toString()
+    assert written["state_best_lap"].first().best.lap_duration == 60
+
+
 def test_counts_come_from_file_footers(spark, tmp_path):
     stored = BucketedTables(spark, str(tmp_path))
     listed = spark.conf.get("spark.sql.sources.useV1SourceList")
