@@ -148,7 +148,7 @@ def _placed_with_sets(rows: DataFrame, radius: int, similarity: float) -> DataFr
     near = near.join(a, F.col("a") == F.col("u fp")).join(b, F.col("b") == F.col("v fp")).select("u", "v")
     similar = word_sets.links(rows, both, similarity)
     roots = stored(components(same.unionByName(near).unionByName(similar))).toDF("of", "root")
-    placed = both.drop("bands", "minima").join(roots, F.col("node") == F.col("of"), "left")
+    placed = both.drop("bands", *word_sets.TOLD).join(roots, F.col("node") == F.col("of"), "left")
     return placed.withColumn("root", F.coalesce("root", "node")).drop("of", "node")
 
 

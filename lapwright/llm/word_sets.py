@@ -9,13 +9,16 @@ Texts with the same words are one node. In a bucket no two members are paired wi
 pivot: first every node with the smallest pivot of its buckets, which joins large groups; then, where a bucket still holds
 several groups, its members with a few pivots of other groups. What is then left in several groups of a bucket is compared
 member by member, so that no pair of a bucket is passed over; members are dealt over slots, and a slot's pairs are told by their minima as
-they are made. The minima tell most pairs that are far apart; only texts of the others are read once more for their sets.
+they are made. Parities of the runs, which never tell a similar pair apart, and the minima tell most pairs that are far apart, so that
+of a large group whose members are nearly but not quite similar few pairs leave a join; only texts of those are read once more for their sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import accumulate, chain
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +33,12 @@ from .components import components
 RUN, SIMILARITY = 5, 0.8
 ROWS, BANDS = 5, 14
 BLOCK = 1 << 16  # hashes whose minima are taken at a time; a very long text takes several blocks
+TOLD = ("minima", "parities", "size")  # what tells nodes apart without their sets
 # Odd factors of the hash functions: multiples of the golden ratio's fraction, in 64 bits.
 FACTORS = (np.arange(1, ROWS * BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 FLIPS = (0x5555555555555555, 0x0F0F0F0F0F0F0F0F)
 SLOT = 512  # members of a large bucket that are compared in one join
+PARITY = 2048  # bits of a set's parities, which tell sets of up to some 3,500 runs; larger ones are told by their minima alone
 BITS = 26  # of the largest filter of nodes: 8 MB
 
 
@@ -63,14 +68,29 @@ def minima(hashes: np.ndarray) -> np.ndarray:
     return least
 
 
+def run_set(hashes: np.ndarray) -> np.ndarray:
+    """The runs as numbers of 32 bits, sorted and distinct."""
+    return np.unique((hashes >> np.uint64(32)).astype(np.uint32))
+
+
+def parities(runs: np.ndarray) -> np.ndarray:
+    """Whether the number of runs with the same lowest bits is odd, as bits of longs.
+
+    Every run that only one of two sets has changes one bit, so that the parities of two sets never differ in more bits than
+    there are such runs.
+    """
+    odd = np.bincount(runs & np.uint32(PARITY - 1), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.asarray(x, np.uint64).view(np.int64))
 
 
 def signatures(rows: DataFrame, text_col: str = "text") -> DataFrame:
-    """Add to every row node, bands (equal where all minima of a band are) and minima, cut to 32 bits.
+    """Add to every row node, bands (equal where all minima of a band are), minima, cut to 32 bits, parities and size of the set.
 
-    A text without words has neither bands nor minima.
+    A text without words has neither bands nor minima nor parities.
     """
     names = rows.columns
 
@@ -79,14 +99,22 @@ def signatures(rows: DataFrame, text_col: str = "text") -> DataFrame:
             found = [run_hashes(t or "") for t in batch.column(text_col).to_pylist()]
             least = [minima(h) if len(h) else h for _, h in found]
             keys = [np.array([xxhash.xxh64_intdigest(b.tobytes()) for b in m.reshape(-1, ROWS)], np.uint64) for m in least]
+            runs = [run_set(h) for _, h in found]
+            odd = [parities(r) if len(r) else h for r, (_, h) in zip(runs, found)]
             lists = [
                 pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in xs])]).astype(np.int32)), values)
-                for xs, values in ((keys, _signed(np.concatenate(keys))), (least, pa.array(np.concatenate(least).astype(np.uint32).view(np.int32))))
+                for xs, values in (
+                    (keys, _signed(np.concatenate(keys))),
+                    (least, pa.array(np.concatenate(least).astype(np.uint32).view(np.int32))),
+                    (odd, _signed(np.concatenate(odd))),
+                )
             ]
             nodes = _signed(np.array([n for n, _ in found], np.uint64))
-            yield pa.RecordBatch.from_arrays([*map(batch.column, names), nodes, *lists], [*names, "node", "bands", "minima"])
+            sizes = pa.array([len(r) for r in runs], pa.int32())
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), nodes, *lists, sizes], [*names, "node", "bands", *TOLD])
 
-    kinds = [T.StructField("node", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("minima", T.ArrayType(T.IntegerType()))]
+    longs, ints = T.ArrayType(T.LongType()), T.ArrayType(T.IntegerType())
+    kinds = [T.StructField(n, t) for n, t in zip(("node", "bands", *TOLD), (T.LongType(), longs, ints, longs, T.IntegerType()))]
     return rows.mapInArrow(task, T.StructType([*rows.schema.fields, *kinds]))
 
 
@@ -122,7 +150,7 @@ def remaining_pairs(members: DataFrame, roots: DataFrame, nodes: DataFrame, leas
     """All likely pairs of a bucket's members in different groups.
 
     Members outside a bucket's largest group meet all members. Both sides are dealt over slots of about SLOT members, so that a
-    large bucket makes many small joins, and only pairs whose minima are near leave the join.
+    large bucket makes many small joins, and only likely pairs leave the join.
     """
     known = grouped(members, roots)
     sizes = known.groupBy("band", "key", "root").agg(F.count("*").alias("n"))
@@ -131,33 +159,42 @@ def remaining_pairs(members: DataFrame, roots: DataFrame, nodes: DataFrame, leas
         "band", "key", F.col("main.root").alias("main"),
         F.ceil((F.col("n") - F.col("main.n")) / SLOT).alias("few"), F.ceil(F.col("n") / SLOT).alias("many"),
     )
-    each = known.join(mixed, ["band", "key"]).join(nodes.select("node", "minima"), "node")
+    each = known.join(mixed, ["band", "key"]).join(_told(nodes, "told"), "node")
 
     def side(rows: DataFrame, own: str, other: str, names: tuple[str, str, str]) -> DataFrame:
         dealt = rows.withColumns({own: F.pmod(F.xxhash64("node"), F.col(own)), other: F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))})
-        return dealt.select("band", "key", "few", "many", *[F.col(c).alias(n) for c, n in zip(("node", "root", "minima"), names)])
+        return dealt.select("band", "key", "few", "many", *[F.col(c).alias(n) for c, n in zip(("node", "root", "told"), names)])
 
     a = side(each.filter("root <> main"), "few", "many", ("u", "ru", "a"))
     b = side(each, "many", "few", ("v", "rv", "b"))
-    near = a.join(b, ["band", "key", "few", "many"]).filter("ru <> rv").filter(_agree() >= _least_agree(least))
+    near = a.join(b, ["band", "key", "few", "many"]).filter("ru <> rv").filter(_alike(nodes, least))
     return near.select(*_pair("u", "v")).distinct()
 
 
-def _agree() -> Column:
-    """In how many hash functions the minima a and b agree."""
-    return F.size(F.filter(F.zip_with("a", "b", lambda x, y: x == y), lambda same: same))
+def _told(nodes: DataFrame, name: str) -> DataFrame:
+    return nodes.select("node", F.struct(*[c for c in TOLD if c in nodes.columns]).alias(name))
 
 
-def _least_agree(least: float) -> float:
-    n = ROWS * BANDS
-    return n * least - 5 * (n * least * (1 - least)) ** 0.5
+def _alike(nodes: DataFrame, least: float) -> Column:
+    """Whether what tells the nodes a and b leaves them a similarity of `least`.
+
+    The parities may differ in as many bits as similar sets of these sizes differ in runs, which is no estimate but a bound. The minima agree as
+    often as those of texts with that similarity do, five standard deviations allowed. Nodes may come without parities.
+    """
+    a, b, n = F.col("a"), F.col("b"), ROWS * BANDS
+    agree = F.size(F.filter(F.zip_with(a["minima"], b["minima"], lambda x, y: x == y), lambda same: same))
+    alike = agree >= n * least - 5 * (n * least * (1 - least)) ** 0.5
+    if "parities" not in nodes.columns:
+        return alike
+    differ = reduce(add, [F.bit_count(a["parities"][i].bitwiseXOR(b["parities"][i])) for i in range(PARITY // 64)])
+    # Of a union of n runs (1 - least) * n at most are in one set only, and the sizes add up to (1 + least) * n then; the rest is for rounding.
+    return (differ <= (1 - least) / (1 + least) * (a["size"] + b["size"]) + 1e-6) & alike
 
 
 def likely(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
-    """The pairs whose minima agree as often as those of texts with that similarity do, five standard deviations allowed."""
-    a = nodes.select(F.col("node").alias("u"), F.col("minima").alias("a"))
-    b = nodes.select(F.col("node").alias("v"), F.col("minima").alias("b"))
-    return pairs.join(a, "u").join(b, "v").filter(_agree() >= _least_agree(least)).select("u", "v")
+    """The pairs that are not told apart without their sets."""
+    a, b = _told(nodes, "a").withColumnRenamed("node", "u"), _told(nodes, "b").withColumnRenamed("node", "v")
+    return pairs.join(a, "u").join(b, "v").filter(_alike(nodes, least)).select("u", "v")
 
 
 def _bitmap(nodes: DataFrame, count: int) -> np.ndarray:
@@ -192,7 +229,7 @@ def sets(rows: DataFrame, nodes: DataFrame) -> DataFrame:
                 bit = node & lowest
                 if node not in done and known[bit >> 3] >> (bit & 7) & 1:
                     done.add(node)
-                    found[node] = np.unique((run_hashes(text or "")[1] >> np.uint64(32)).astype(np.uint32)).tobytes()
+                    found[node] = run_set(run_hashes(text or "")[1]).tobytes()
             yield pa.RecordBatch.from_arrays([_signed(np.array(list(found), np.uint64)), pa.array(list(found.values()), pa.binary())], ["node", "runs"])
 
     return rows.select("text").mapInArrow(task, "node long, runs binary").dropDuplicates(["node"])
@@ -225,7 +262,7 @@ def links(rows: DataFrame, signed: DataFrame, least: float = SIMILARITY) -> Data
     `rows` has a column text, a null one being empty, and `signed` is what `signatures` makes of it. A text without words is linked to no
     other; shorter ones than a run only to texts with the same words, which are the same node. Very long texts are read whole.
     """
-    nodes = stored(signed.groupBy("node").agg(F.first("bands").alias("bands"), F.first("minima").alias("minima")))
+    nodes = stored(signed.groupBy("node").agg(*[F.first(c).alias(c) for c in ("bands", *TOLD)]))
     members = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = members.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("node").alias("p0")).filter("n > 1")
     members = stored(members.join(buckets, ["band", "key"]).select("node", "band", "key"))

@@ -104,3 +104,46 @@ def test_no_pair_of_a_bucket_is_passed_over(spark, monkeypatch):
     assert {(r.u, r.v) for r in word_sets.remaining_pairs(members, none, nodes, 0.8).collect()} == wanted
     joined = spark.createDataFrame([x for i in range(3, 60, 3) for x in ((i, 3), (i + 1, 3))], "node long, root long")
     assert {(r.u, r.v) for r in word_sets.remaining_pairs(members, joined, nodes, 0.8).collect()} == {(0, 1)}
+
+
+def _nearly_similar(seed, count, copies):
+    """Texts that share two thirds of their runs, all from one text, and some copies of them with one more word changed."""
+    draw = random.Random(seed)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for _ in range(count):
+        words = list(base)
+        for k in range(10, 150, 50):
+            words[k + draw.randrange(40)] = f"x{draw.randrange(10**9)}"
+        texts.append(words)
+    return [" ".join(t) for t in texts] + [" ".join([*t[:-1], f"x{draw.randrange(10**9)}"]) for t in texts[:copies]]
+
+
+def test_parities_differ_in_no_more_bits_than_sets_do_in_runs():
+    draw = random.Random(7)
+    for size in (1, 5, 150, 4000):
+        base = [f"w{i}" for i in range(size)]
+        for changed in (0, 1, size // 50, size // 4, size):
+            other = list(base)
+            for k in draw.sample(range(size), changed):
+                other[k] = f"x{k}"
+            a, b = (word_sets.run_set(word_sets.run_hashes(" ".join(t))[1]) for t in (base, other))
+            bits = sum(int(x ^ y).bit_count() for x, y in zip(word_sets.parities(a).tolist(), word_sets.parities(b).tolist()))
+            assert bits <= len(set(a.tolist()) ^ set(b.tolist()))
+
+
+def test_few_pairs_of_a_large_group_of_nearly_similar_texts_are_checked(spark):
+    """The pairs that leave the joins follow the links, not the square of the group, and none of the links is lost."""
+    texts = _nearly_similar(3, 120, 12)
+    sets = [runs(t) for t in texts]
+    wanted = {frozenset((a, b)) for a in range(len(texts)) for b in range(a) if alike(sets[a], sets[b])}
+    assert {frozenset((i, 120 + i)) for i in range(12)} <= wanted and len(wanted) < 60
+    nodes = word_sets.signatures(spark.createDataFrame([*enumerate(texts)], "id long, text string").repartition(3)).drop("text")
+    ids = {r.node: r.id for r in nodes.collect()}
+    members = nodes.selectExpr("node", "0 as band", "7L as `key`")
+    none = spark.createDataFrame([], "node long, root long")
+    pairs = word_sets.remaining_pairs(members, none, nodes, 0.8)
+    met = {frozenset((ids[r.u], ids[r.v])) for r in pairs.collect()}
+    assert wanted <= met and len(met) <= 3 * len(texts)
+    every = spark.createDataFrame([(a, b) for a in ids for b in ids if a < b], "u long, v long")
+    assert {frozenset((ids[r.u], ids[r.v])) for r in word_sets.likely(every, nodes, 0.8).collect()} == met
