@@ -94,6 +94,20 @@ def test_ratios_are_those_of_the_longest_kept_contexts(spark, contexts):
     assert all(abs(got[i] - mean(t)) < 1e-5 for i, t in enumerate(texts))
 
 
+def test_ratios_are_those_of_all_contexts_of_many(spark, monkeypatch):
+    """More contexts than an expression holds, most of them rare: none is left out."""
+    words = [format(i * 2654435761 % 2**32, "08x") for i in range(400)]
+    examples = [(reading(f"{w[:3]}.{w[3:6]}.org", f"/{w}"), i % 3 > 0, 1 + i % 2) for i, w in enumerate(words)]
+    model = url_filter.fit(spark.createDataFrame(examples, "text string, good boolean, n long"))
+    assert model.facts.count() > CONTEXTS
+    monkeypatch.setitem(globals(), "SEEN", 1)
+    mean = ratio_of(examples, None)
+    texts = [t for t, _, _ in examples[:40]] + [reading(*parts(u)) for u in URLS] + ["a", "", "ab", "zzzzzzzzz"] * 2
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    got = {r.i: r.ratio for r in model.with_ratio(df).collect()}
+    assert len(got) == len(texts) and all(abs(got[i] - mean(t)) < 1e-5 for i, t in enumerate(texts))
+
+
 def test_readings_are_plain(spark):
     got = url_filter.judge(pages(spark), None, 0.0)
     text = got.select(url_filter.reading(got["host"], got["path"]).alias("x"), "host", "path").collect()
