@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, stored
+from .common import discard, shuffled, stored
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -19,7 +19,7 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     else:
         links = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     smallest = links.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    met = links.join(smallest, links["u"] == smallest["node"])
+    met = links.join(shuffled(smallest), F.col("u") == F.col("node"))
     if large:
         hung = met.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import word_sets
-from .common import identity, on_identity, slices, stored, table
+from .common import identity, on_identity, shuffled, slices, stored, table
 from .components import components
 
 BITS, SHINGLE, RADIUS, SEED = 64, 4, 4, 42
@@ -91,7 +91,7 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     buckets = found.filter("n > 1").select(
         "table", "key", "p0", "p1", *[F.col(f"m{i}").bitwiseXOR(F.lit(c)).alias(f"f{i}") for i, c in enumerate(FLIPS)]
     )
-    crowded = stored(members.join(buckets, ["table", "key"]))
+    crowded = stored(members.join(shuffled(buckets), ["table", "key"]))
     pivots = F.array("p0", "p1", *[f"f{i}" for i in range(len(FLIPS))])
     near = crowded.select("fp", F.explode(F.array_distinct(pivots)).alias("v")).filter(
         (F.col("fp") != F.col("v")) & (distance(F.col("fp"), F.col("v")) <= radius)
@@ -99,7 +99,7 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     first = stored(near.select(F.least("fp", "v").alias("u"), F.greatest("fp", "v").alias("v")).distinct())
 
     roots = components(first)
-    known = crowded.select("fp", "table", "key", "p0").join(roots, F.col("fp") == F.col("node"), "left").select(
+    known = crowded.select("fp", "table", "key", "p0").join(shuffled(roots), F.col("fp") == F.col("node"), "left").select(
         "fp", "table", "key", "p0", F.coalesce("root", "fp").alias("root")
     )
     known = stored(known)
@@ -107,9 +107,9 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
         F.min("root").alias("low"), F.max("root").alias("high"),
         F.max(F.when(F.col("fp") == F.col("p0"), F.col("root"))).alias("main"),
     ).filter("low <> high").select("table", "key", "main")
-    open_ = known.join(mixed_buckets, ["table", "key"])
+    open_ = known.join(shuffled(mixed_buckets), ["table", "key"])
     a = open_.filter("root <> main").select("table", "key", F.col("fp").alias("u"), F.col("root").alias("ru"))
-    b = open_.select("table", "key", F.col("fp").alias("v"), F.col("root").alias("rv"))
+    b = shuffled(open_.select("table", "key", F.col("fp").alias("v"), F.col("root").alias("rv")))
     cross = a.join(
         b,
         (a["table"] == b["table"]) & (a["key"] == b["key"]) & (a["ru"] != b["rv"])
@@ -121,7 +121,7 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 def _placed(prints: DataFrame, radius: int) -> DataFrame:
     """Add `root`, the same number for all rows of a component."""
     roots = stored(components(links(prints, radius)))
-    return prints.join(roots, prints["fp"] == roots["node"], "left").withColumn("root", F.coalesce("root", "fp")).drop("node")
+    return prints.join(shuffled(roots), F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp")).drop("node")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
@@ -134,7 +134,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     placed = _placed(stored(fingerprints(rows)), radius)
     smallest = placed.groupBy(F.col("root").alias("r")).agg(F.min("doc_id").alias("component_id"))
-    return placed.join(smallest, F.col("root") == F.col("r")).select("doc_id", "fp", "component_id")
+    return placed.join(shuffled(smallest), F.col("root") == F.col("r")).select("doc_id", "fp", "component_id")
 
 
 def _placed_with_sets(rows: DataFrame, radius: int, similarity: float) -> DataFrame:
@@ -142,13 +142,13 @@ def _placed_with_sets(rows: DataFrame, radius: int, similarity: float) -> DataFr
     both = stored(fingerprints(word_sets.signatures(rows)))
     # Everything in terms of nodes: a fingerprint is stood for by the smallest of its nodes.
     prints = stored(both.groupBy("fp").agg(F.min("node").alias("first")))
-    same = both.select("fp", "node").distinct().join(prints, "fp").select(F.col("first").alias("u"), F.col("node").alias("v"))
+    same = both.select("fp", "node").distinct().join(shuffled(prints), "fp").select(F.col("first").alias("u"), F.col("node").alias("v"))
     a, b = (prints.toDF(f"{x} fp", x) for x in ("u", "v"))
     near = links(prints, radius).toDF("a", "b")
-    near = near.join(a, F.col("a") == F.col("u fp")).join(b, F.col("b") == F.col("v fp")).select("u", "v")
+    near = near.join(shuffled(a), F.col("a") == F.col("u fp")).join(shuffled(b), F.col("b") == F.col("v fp")).select("u", "v")
     similar = word_sets.links(rows, both, similarity)
     roots = stored(components(same.unionByName(near).unionByName(similar))).toDF("of", "root")
-    placed = both.drop("bands", *word_sets.TOLD).join(roots, F.col("node") == F.col("of"), "left")
+    placed = both.drop("bands", *word_sets.TOLD).join(shuffled(roots), F.col("node") == F.col("of"), "left")
     return placed.withColumn("root", F.coalesce("root", "node")).drop("of", "node")
 
 
@@ -164,12 +164,12 @@ def keep_one(
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("doc_id"), F.col("h1").alias("h1"), F.col("h2").alias("h2"))
     chosen = placed.groupBy("root").agg(F.min(order).alias("k"))
     copies = placed.groupBy("doc_id", "h1", "h2").agg(F.count("*").alias("n"))
-    chosen = on_identity(chosen.select("k.doc_id", "k.h1", "k.h2"), copies, "inner")
+    chosen = on_identity(chosen.select("k.doc_id", "k.h1", "k.h2"), shuffled(copies), "inner")
 
     names, mine = docs.columns, [f"kept {c}" for c in ("doc_id", "h1", "h2", "n")]
     keys = [c.alias(n) for c, n in zip(identity(id_col, text_col), mine)]
     met = docs.select("*", *keys).join(
-        chosen.toDF("doc_id 2", "h1 2", "h2 2", mine[3]),
+        shuffled(chosen.toDF("doc_id 2", "h1 2", "h2 2", mine[3])),
         F.col(f"`{mine[0]}`").eqNullSafe(F.col("`doc_id 2`"))
         & (F.col(f"`{mine[1]}`") == F.col("`h1 2`")) & (F.col(f"`{mine[2]}`") == F.col("`h2 2`")),
     )

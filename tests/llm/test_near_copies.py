@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from lapwright.llm import components as components_module
 from lapwright.llm import line_dedup, simhash, word_sets
 from lapwright.llm.components import components
 
@@ -134,3 +135,30 @@ def test_the_filter_of_nodes_follows_their_number(spark):
     wanted = [n - 2**64 if n >> 63 else n for n in wanted]
     found = word_sets.sets(rows, spark.createDataFrame([(n,) for n in wanted], "node long"))
     assert set(wanted) <= {r.node for r in found.collect()}
+
+
+def _plans(monkeypatch, *modules):
+    """Plans of everything that the modules store from now on."""
+    seen = []
+    for module in modules:
+        def noted(df, store=module.stored):
+            seen.append(df._jdf.queryExecution().executedPlan().toString())
+            return store(df)
+
+        monkeypatch.setattr(module, "stored", noted)
+    return seen
+
+
+def test_joins_of_prints_and_links_send_nothing_through_the_driver(spark, monkeypatch):
+    """Their sides grow with the input, and an explode or a compressed file hides how far."""
+    plans = _plans(monkeypatch, simhash, components_module)
+    done = simhash.near_duplicates(awkward(spark))
+    plans.append(done._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in p for p in plans) > 3 and not any("Broadcast" in p for p in plans)
+
+
+def test_joins_of_word_sets_and_lines_send_nothing_through_the_driver(spark, monkeypatch):
+    plans = _plans(monkeypatch, simhash, word_sets, line_dedup, components_module)
+    for done in (simhash.keep_one(awkward(spark), similarity=0.8), line_dedup.deduplicate(awkward(spark))):
+        plans.append(done._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in p for p in plans) > 10 and not any("Broadcast" in p for p in plans)
