@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import discard, identity, stored, table, whole_text
+from .common import discard, identity, shuffled, stored, table, whole_text
 
 MIN_WORDS = 50
 SECTIONS = 4096
@@ -55,7 +55,7 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _candidates(lines: DataFrame, min_words: int) -> DataFrame:
     """Lines in stretches of repeated lines with enough words, with `block`, the number of the stretch."""
     repeated = lines.groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    some = lines.join(repeated, ["a", "b"]).dropDuplicates([*KEYS, "i"])  # rows that repeat a document are one
+    some = lines.join(shuffled(repeated), ["a", "b"]).dropDuplicates([*KEYS, "i"])  # rows that repeat a document are one
     in_doc = Window.partitionBy(*KEYS).orderBy("i")
     blocks = some.withColumn("block", F.col("i") - F.row_number().over(in_doc))
     total = F.sum("words").over(Window.partitionBy(*KEYS, "block"))
@@ -69,10 +69,10 @@ def _refined(rows: DataFrame, by: str, section: Column) -> DataFrame:
     before = Window.partitionBy("rank").orderBy("section").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("rank", "section", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("offset"))
     inside = Window.partitionBy("rank", "section").orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = pairs.join(offsets, ["rank", "section"]).select(
+    ranked = pairs.join(shuffled(offsets), ["rank", "section"]).select(
         "rank", by, (F.col("rank") + F.col("offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("next"),
     )
-    return rows.join(ranked, ["rank", by]).drop("rank", by).withColumnRenamed("next", "rank")
+    return rows.join(shuffled(ranked), ["rank", by]).drop("rank", by).withColumnRenamed("next", "rank")
 
 
 def suffix_ranks(
@@ -146,12 +146,12 @@ def removed_runs(
     same = F.col("doc_id").eqNullSafe(F.col("t_doc_id")) & (F.col("h1") == F.col("t_h1")) & (F.col("h2") == F.col("t_h2"))
     named = stored(
         runs.withColumnsRenamed({"j": "rj", "k": "rk"})
-        .join(tails, same & (F.col("rj") == F.col("j")) & (F.col("rk") == F.col("k")))
+        .join(shuffled(tails), same & (F.col("rj") == F.col("j")) & (F.col("rk") == F.col("k")))
         .select(*KEYS, "i", "len", "head", "tail")
     )
     place = F.struct(F.col("doc_id").isNull().alias("z"), *[F.col(c) for c in KEYS], F.col("i"))
     first = named.groupBy("len", "head", "tail").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    copies = named.join(first, ["len", "head", "tail"]).filter(place > F.col("first")).groupBy(*KEYS, "i").agg(
+    copies = named.join(shuffled(first), ["len", "head", "tail"]).filter(place > F.col("first")).groupBy(*KEYS, "i").agg(
         (F.col("i") + F.max("len")).alias("end")
     )
     in_doc = Window.partitionBy(*KEYS).orderBy("i")
@@ -161,7 +161,7 @@ def removed_runs(
     ).groupBy(*KEYS, "island").agg(F.min("i").alias("i"), (F.max("end") - 1).alias("last"))
     numbers = rows.select(*[F.col(c).alias(f"t_{c}") for c in KEYS], F.col("i").alias("li"), "pos")
     ends = islands.select(*KEYS, "island", F.explode(F.array("i", "last")).alias("at"))
-    ranges = ends.join(numbers, same & (F.col("at") == F.col("li"))).groupBy(*KEYS, "island").agg(
+    ranges = ends.join(shuffled(numbers), same & (F.col("at") == F.col("li"))).groupBy(*KEYS, "island").agg(
         F.struct(F.min("pos").alias("first"), F.max("pos").alias("last")).alias("x")
     )
     return stored(ranges.groupBy(*KEYS).agg(F.sort_array(F.collect_list("x")).alias("removed")))
@@ -184,7 +184,7 @@ def deduplicate(
     for m, o in zip(mine[1:], other[1:]):
         same = same & (F.col(f"`{m}`") == F.col(f"`{o}`"))
     # Both sides are shuffled at any size: broadcasting would hold only while few documents have copied lines.
-    met = keyed.join(runs.toDF(*other, "removed").hint("merge"), same, "left").drop(*mine, *other)
+    met = keyed.join(shuffled(runs.toDF(*other, "removed")), same, "left").drop(*mine, *other)
     kept = F.filter(
         F.split(F.col(f"`{text_col}`"), "\n", -1),
         lambda x, p: ~F.exists(F.col("removed"), lambda r: p.between(r["first"], r["last"])),

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import discard, sent, slices, stored
+from .common import discard, sent, shuffled, slices, stored
 from .components import components
 
 RUN, SIMILARITY = 5, 0.8
@@ -124,13 +124,13 @@ def _pair(a: str, b: str) -> list:
 
 def first_pairs(members: DataFrame, buckets: DataFrame) -> DataFrame:
     """Every node with the smallest node that it shares a bucket with."""
-    met = members.join(buckets.select("band", "key", "p0"), ["band", "key"]).groupBy("node").agg(F.min("p0").alias("p"))
+    met = members.join(shuffled(buckets.select("band", "key", "p0")), ["band", "key"]).groupBy("node").agg(F.min("p0").alias("p"))
     return met.filter("node <> p").select(*_pair("node", "p")).distinct()
 
 
 def grouped(members: DataFrame, roots: DataFrame) -> DataFrame:
     """The members with the root of their group."""
-    return members.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select(
+    return members.join(shuffled(roots.withColumnRenamed("node", "of")), F.col("node") == F.col("of"), "left").select(
         "node", "band", "key", F.coalesce("root", "node").alias("root")
     )
 
@@ -141,7 +141,7 @@ def further_pairs(members: DataFrame, roots: DataFrame) -> DataFrame:
     flips = [F.min(F.struct(F.col("node").bitwiseXOR(F.lit(c)), "node", "root")).alias(f"m{i}") for i, c in enumerate((0, -1, *FLIPS))]
     mixed = known.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"), *flips).filter("low <> high")
     pivots = F.array_distinct(F.array(*[F.struct(F.col(f"m{i}.node").alias("p"), F.col(f"m{i}.root").alias("r")) for i in range(4)]))
-    met = known.join(mixed.select("band", "key", pivots.alias("pivots")), ["band", "key"])
+    met = known.join(shuffled(mixed.select("band", "key", pivots.alias("pivots"))), ["band", "key"])
     each = met.select("node", "root", F.explode("pivots").alias("x")).filter("root <> x.r").select("node", F.col("x.p").alias("p"))
     return each.select(*_pair("node", "p")).distinct()
 
@@ -159,7 +159,7 @@ def remaining_pairs(members: DataFrame, roots: DataFrame, nodes: DataFrame, leas
         "band", "key", F.col("main.root").alias("main"),
         F.ceil((F.col("n") - F.col("main.n")) / SLOT).alias("few"), F.ceil(F.col("n") / SLOT).alias("many"),
     )
-    each = known.join(mixed, ["band", "key"]).join(_told(nodes, "told"), "node")
+    each = known.join(shuffled(mixed), ["band", "key"]).join(shuffled(_told(nodes, "told")), "node")
 
     def side(rows: DataFrame, own: str, other: str, names: tuple[str, str, str]) -> DataFrame:
         dealt = rows.withColumns({own: F.pmod(F.xxhash64("node"), F.col(own)), other: F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))})
@@ -167,7 +167,7 @@ def remaining_pairs(members: DataFrame, roots: DataFrame, nodes: DataFrame, leas
 
     a = side(each.filter("root <> main"), "few", "many", ("u", "ru", "a"))
     b = side(each, "many", "few", ("v", "rv", "b"))
-    near = a.join(b, ["band", "key", "few", "many"]).filter("ru <> rv").filter(_alike(nodes, least))
+    near = a.join(shuffled(b), ["band", "key", "few", "many"]).filter("ru <> rv").filter(_alike(nodes, least))
     return near.select(*_pair("u", "v")).distinct()
 
 
@@ -194,7 +194,7 @@ def _alike(nodes: DataFrame, least: float) -> Column:
 def likely(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     """The pairs that are not told apart without their sets."""
     a, b = _told(nodes, "a").withColumnRenamed("node", "u"), _told(nodes, "b").withColumnRenamed("node", "v")
-    return pairs.join(a, "u").join(b, "v").filter(_alike(nodes, least)).select("u", "v")
+    return pairs.join(shuffled(a), "u").join(shuffled(b), "v").filter(_alike(nodes, least)).select("u", "v")
 
 
 def _bitmap(nodes: DataFrame, count: int) -> np.ndarray:
@@ -240,7 +240,7 @@ def similar(pairs: DataFrame, runs: DataFrame, least: float) -> DataFrame:
     a = runs.select(F.col("node").alias("u"), F.col("runs").alias("a"))
     b = runs.select(F.col("node").alias("v"), F.col("runs").alias("b"))
     # Sizes alone rule out some pairs.
-    met = pairs.join(a, "u").join(b, "v").filter(
+    met = pairs.join(shuffled(a), "u").join(shuffled(b), "v").filter(
         F.least(F.length("a"), F.length("b")) >= F.lit(least) * F.greatest(F.length("a"), F.length("b"))
     )
 
@@ -265,7 +265,7 @@ def links(rows: DataFrame, signed: DataFrame, least: float = SIMILARITY) -> Data
     nodes = stored(signed.groupBy("node").agg(*[F.first(c).alias(c) for c in ("bands", *TOLD)]))
     members = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = members.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("node").alias("p0")).filter("n > 1")
-    members = stored(members.join(buckets, ["band", "key"]).select("node", "band", "key"))
+    members = stored(members.join(shuffled(buckets), ["band", "key"]).select("node", "band", "key"))
     buckets = members.groupBy("band", "key").agg(F.min("node").alias("p0"))
 
     def checked(pairs: DataFrame) -> DataFrame:
