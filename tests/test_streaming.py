@@ -9,10 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from lapwright.plans import landed
 from lapwright.plans.silver import clean
 from lapwright.sources import landing
 from lapwright.sources.raw_schema import merge
 from lapwright.streaming import bronze
+from lapwright.streaming.bronze import Bronze
 from pyspark.sql.types import StructType
 
 
@@ -271,3 +273,27 @@ def test_broken_lines_are_told_by_what_is_stored(spark, home):
         plan = table._jdf.queryExecution().executedPlan().toString()
         assert "Filter" in plan and not [x for x in plan.splitlines() if "Filter" in x and "variant_get" in x]
     assert raw.arrived("laps", raw.last_batch("laps")).rdd.getNumPartitions() == 0
+
+
+def test_landed_endpoints_follow_each_other_compressed_and_leave_no_files(spark, racing, tmp_path, monkeypatch):
+    """On disk at a time: the landed files of one endpoint, and no shuffle of an earlier one."""
+    seen, ingest = [], Bronze.ingest
+
+    def noted(self, endpoints, failed=None):
+        names = [str(p.relative_to(tmp_path / "home" / "landing")) for p in (tmp_path / "home" / "landing").rglob("part-*")]
+        seen.append((list(endpoints), names))
+        return ingest(self, endpoints, failed)
+
+    monkeypatch.setattr(Bronze, "ingest", noted)
+    monkeypatch.setattr(landed, "home", lambda _spark: str(tmp_path / "home"))
+    tables = racing(
+        sessions=[{"session_key": k, "meeting_key": 1} for k in range(3)], drivers=[{"session_key": k, "driver_number": 4} for k in (0, 0, 5)]
+    )
+    wanted = ["sessions", "drivers", "pit"]
+    raw = landed.streamed(spark, tables, wanted, parts=2)
+    assert [e for e, _ in seen] == [["sessions"], ["drivers"], ["pit"]]
+    assert all(n.startswith(f"{e[0]}/batch=part_") and n.endswith(".json.gz") for e, names in seen for n in names)
+    assert [len(names) for _, names in seen] == [2, 2, 0]
+    assert rows(bronze.ledger(raw, wanted)) == [("drivers", 3, 0, 2), ("pit", 0, 0, 0), ("sessions", 3, 0, 2)]
+    assert not list((tmp_path / "home" / "landing").rglob("part-*"))
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
