@@ -1,13 +1,15 @@
 """Whole updates: landing to answers, incremental, again in full, and half-way failures."""
 
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 
 from conftest import rows
-from lapwright.plans import checks, dashboard, explore
+from lapwright.plans import checks, dashboard, explore, landed
 from lapwright.plans.cascade import PROCESSED_AT, update
 from lapwright.sources import landing
+from lapwright.sources.bucketed import BucketedTables
 from lapwright.sources.tables import StoredTables, list_tables, preview, register, save_as_table, table
 
 DAY = dt.datetime(2024, 3, 1, 14)
@@ -152,3 +154,35 @@ def test_an_answer_can_be_kept(spark, updated, tmp_path):
         save_as_table(explore.top_drivers(updated[2].tables), "kept.analysis_top_drivers")
     assert table(spark, "kept.analysis_top_drivers").count() == 2
     assert "analysis_top_drivers" in list_tables(spark, "kept")
+
+
+def test_an_update_broadcasts_no_stored_table(spark, tmp_path, monkeypatch):
+    """Stored tables read compressed look small however many rows they have."""
+    home, plans = str(tmp_path), {}
+    write = BucketedTables.write
+
+    def noted(self, name, df, *args, **named):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(self, name, df, *args, **named)
+
+    monkeypatch.setattr(BucketedTables, "write", noted)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for endpoint, ddl, row in (
+        ("sessions", "session_key int, meeting_key int, session_name string", (1, 9, "S1")),
+        ("drivers", "session_key int, driver_number int, full_name string", (1, 44, "A")),
+        ("laps", "session_key int, driver_number int, lap_number int, lap_duration double, is_pit_out_lap boolean", (1, 44, 1, 91.5, False)),
+    ):
+        landing.land(spark.createDataFrame([row], ddl), f"{home}/landing", endpoint)
+    update(spark, f"{home}/landing", f"{home}/lake", buckets=4)
+    assert "SortMergeJoin" in plans["gold_fastest_laps"] and not [n for n, p in plans.items() if "Broadcast" in p]
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == threshold
+
+
+def test_the_corrected_answer_broadcasts_no_stored_table(spark, racing, tmp_path, monkeypatch):
+    made, kept = racing(), {}
+    for name in ("driver_performance", "fastest_laps", "team_performance", "race_summary", "overtakes_analysis"):
+        made[f"gold_{name}"].write.parquet(f"{tmp_path}/{name}")
+        kept[f"gold_{name}"] = spark.read.parquet(f"{tmp_path}/{name}")
+    monkeypatch.setattr(landed, "three_drops", lambda *_: SimpleNamespace(tables=kept))
+    plan = landed.corrected(spark, kept)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 4 and "Broadcast" not in plan
